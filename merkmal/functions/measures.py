@@ -47,7 +47,7 @@ def format_number(number: Column) -> Column:
     """Whole numbers under 1e12 without a point, others with up to four decimals."""
     short = F.regexp_replace(F.regexp_replace(F.format_string("%.4f", number), "0+$", ""), r"\.$", "")
     whole = (number == F.floor(number)) & (F.abs(number) < 1e12)
-    return F.when(whole, number.cast("bigint").cast("string")).otherwise(short)
+    return F.when(whole, number.cast("bigint").cast("string")).when(number.isNotNull(), short)
 
 
 def convert_units(rows: DataFrame, number: str, source: str, target: str) -> DataFrame:

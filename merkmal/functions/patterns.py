@@ -31,6 +31,15 @@ def keep_if(value: Column, test: Callable[[Column], Column]) -> Column:
     return F.get(F.filter(F.array(value), test), F.lit(0))
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed a single time.
+
+    An expression named several times, or inside a lambda, is computed again each
+    time; as the variable of an outer lambda it is computed once per row.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def first_group(text: Column, pattern: str, group: int = 1) -> Column:
     """Group of the leftmost match, null when there is no match."""
     return keep_if(F.regexp_extract(text, pattern, group), lambda g: g != "")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from merkmal.functions.patterns import once
+
 
 def blank_if_null(column: Column | str) -> Column:
     column = F.col(column) if isinstance(column, str) else column
@@ -43,21 +45,22 @@ def piped_text(description_chars: int | None = None) -> Column:
 def word_terms(text: Column) -> Column:
     """Lower-case words of two or more word characters and their bigrams, in order."""
     words = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}_]{2,}"), F.lit(0))
-    pairs = F.transform(
-        F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))),
-        lambda word, i: F.concat(F.get(words, i), F.lit(" "), word),
+    pairs = lambda w: F.transform(
+        F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0))), lambda word, i: F.concat(F.get(w, i), F.lit(" "), word)
     )
-    return F.concat(words, pairs)
+    return once(words, lambda w: F.concat(w, pairs(w)))
+
+
+def substrings(text: Column, n: int) -> Column:
+    """All substrings of ``n`` characters in order, in one walk over the characters."""
+    piece = lambda chars, i: F.concat(*[F.get(chars, i + k) for k in range(n)])
+    whole = lambda chars: F.when(
+        F.size(chars) >= n, F.transform(F.sequence(F.lit(0), F.size(chars) - n), lambda i: piece(chars, i))
+    ).otherwise(F.array().cast("array<string>"))
+    return once(F.filter(F.split(text, ""), lambda c: c != ""), whole)
 
 
 def char_terms(text: Column, low: int = 2, high: int = 4) -> Column:
     """Character n-grams of the lower-case text with white-space runs made one blank."""
     flat = F.regexp_replace(F.lower(text), r"(?U)\s\s+", " ")
-    grams = [
-        F.when(
-            F.length(flat) >= n,
-            F.transform(F.sequence(F.lit(1), F.length(flat) - (n - 1)), lambda i, n=n: F.substring(flat, i, F.lit(n))),
-        ).otherwise(F.array().cast("array<string>"))
-        for n in range(low, high + 1)
-    ]
-    return F.concat(*grams)
+    return F.concat(*[substrings(flat, n) for n in range(low, high + 1)])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from merkmal.functions.patterns import exact, first_group, strip
+from merkmal.functions.patterns import exact, first_group, once, strip
 from merkmal.functions.text import blank_if_null, german_decimals
 from merkmal.operators.fuzzy import closest, reachable
 from merkmal.operators.prepare import if_allowed
@@ -40,21 +40,23 @@ def names_feature(key: Column) -> Column:
 
 def listed_number(value: Column) -> Column:
     """Number and unit at the start of the value, when listed."""
-    clean = german_decimals(strip(value))
-    spaced = first_group(clean, exact(r"^([\d.]+\s+\S+)"))
     joined = exact(r"^([\d.]+)\s*(\S+)")
-    number = first_group(clean, joined)
-    rebuilt = F.concat(number, F.lit(" "), F.regexp_extract(clean, joined, 2))
-    return F.coalesce(if_allowed(clean), if_allowed(spaced), if_allowed(rebuilt))
+
+    def answer(clean: Column) -> Column:
+        spaced = first_group(clean, exact(r"^([\d.]+\s+\S+)"))
+        rebuilt = F.concat(first_group(clean, joined), F.lit(" "), F.regexp_extract(clean, joined, 2))
+        return F.coalesce(if_allowed(clean), if_allowed(spaced), if_allowed(rebuilt))
+
+    return once(german_decimals(strip(value)), answer)
 
 
 def any_case_listed(value: Column) -> Column:
-    same = F.filter("entries", lambda e: e["lower"] == F.lower(value))
+    same = once(F.lower(value), lambda low: F.filter("entries", lambda e: e["lower"] == low))
     return F.array_min(F.transform(same, lambda e: e["value"]))
 
 
 def longest_inside(value: Column) -> Column:
-    found = F.filter("entries", lambda e: F.lower(value).contains(e["lower"]))
+    found = once(F.lower(value), lambda low: F.filter("entries", lambda e: low.contains(e["lower"])))
     return F.get(found, F.lit(0))["value"]
 
 

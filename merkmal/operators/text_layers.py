@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from merkmal.functions.measures import drive_size, scale, thread_size
-from merkmal.functions.patterns import all_groups, any_case, exact, first_group
-from merkmal.functions.text import blank_if_null, german_decimals, rule_text
+from merkmal.functions.patterns import all_groups, any_case, exact, first_group, once
+from merkmal.functions.text import blank_if_null, german_decimals, rule_text, substrings
 from merkmal.operators.prepare import if_allowed
 from merkmal.operators.scale import table_bytes, BROADCAST_BYTES
 
@@ -114,24 +114,21 @@ def measured_number() -> Column:
     numbers = dotted(all_groups(F.col("text_number"), F.col("unit_pattern")))
     in_title = dotted(all_groups(german_decimals(blank_if_null("title")), F.col("unit_pattern")))
     value = lambda n: F.concat(n, F.lit(" "), F.col("unit"))
-    listed = F.filter(numbers, lambda n: F.array_contains("allowed", value(n)))
-    titled = F.filter(numbers, lambda n: F.array_contains(in_title, n))
-    both = F.filter(listed, lambda n: F.array_contains(in_title, n))
+    listed = lambda n: F.array_contains("allowed", value(n))
     last = F.col("feature_name").isin(LAST_NUMBER_FEATURES)
-    chosen = F.coalesce(
-        F.get(both, F.lit(0)),
-        F.get(listed, F.lit(0)),
-        F.when(last, F.try_element_at(titled, F.lit(-1))).otherwise(F.get(titled, F.lit(0))),
-        F.get(numbers, F.lit(0)),
-    )
-    usable = (F.col("feature_type") == "numeric") & F.col("unit").isNotNull()
-    return F.when(usable, value(chosen))
 
+    def choose(found: Column) -> Column:
+        titled = lambda n: F.array_contains(found["titled"], n)
+        first = lambda test: F.get(F.filter(found["all"], test), F.lit(0))
+        return F.coalesce(
+            first(lambda n: listed(n) & titled(n)),
+            first(listed),
+            F.when(last, F.try_element_at(F.filter(found["all"], titled), F.lit(-1))).otherwise(first(titled)),
+            F.get(found["all"], F.lit(0)),
+        )
 
-def substrings(text: Column, n: int) -> Column:
-    """Distinct substrings of ``n`` characters."""
-    cut = F.transform(F.sequence(F.lit(1), F.length(text) - (n - 1)), lambda i: F.substring(text, i, F.lit(n)))
-    return F.when(F.length(text) >= n, F.array_distinct(cut)).otherwise(F.array().cast("array<string>"))
+    usable = (F.col("feature_type") == "numeric") & F.col("unit").isNotNull()
+    return F.when(usable, value(once(F.struct(numbers.alias("all"), in_title.alias("titled")), choose)))
 
 
 def anchored(values: DataFrame) -> DataFrame:
@@ -140,7 +137,7 @@ def anchored(values: DataFrame) -> DataFrame:
     A value shorter than three characters is its own anchor.
     """
     words = values.select("value", F.lower("value").alias("lower")).filter(F.length("lower") > 0).distinct()
-    pieces = F.when(F.length("lower") >= 3, substrings(F.col("lower"), 3)).otherwise(F.array("lower"))
+    pieces = F.when(F.length("lower") >= 3, F.array_distinct(substrings(F.col("lower"), 3))).otherwise(F.array("lower"))
     spread = words.select("value", "lower", F.explode(pieces).alias("anchor"))
     shared = spread.groupBy("anchor").agg(F.count("*").alias("n"))
     return (
@@ -164,7 +161,7 @@ def dictionary_hits(products: DataFrame, values: DataFrame, key: str = "uid", li
     lengths = [r["n"] for r in words.select(F.length("anchor").alias("n")).distinct().collect()]  # at most 3 rows
     if not lengths:
         return texts.select(key, F.lit(None).cast("string").alias("value")).filter("false")
-    pieces = F.concat(*[substrings(F.col("text_lower"), n) for n in sorted(lengths)])
+    pieces = F.array_distinct(F.concat(*[substrings(F.col("text_lower"), n) for n in sorted(lengths)]))
     holds = F.col("text_lower").contains(F.col("lower"))
     if table_bytes(words) <= limit:
         cut = texts.select(key, "text_lower", F.explode(pieces).alias("anchor"))

@@ -162,10 +162,16 @@ def probabilities(margins: np.ndarray) -> np.ndarray:
 
 
 def _copies(model: DataFrame, sharded: DataFrame) -> DataFrame:
-    """One copy of a feature's model rows per shard of that feature."""
+    """One copy of a feature's model rows per shard of that feature.
+
+    Columns are aliased so that a model learned from the same rows does not share
+    column identities with them in the cogroup.
+    """
     counts = sharded.groupBy("feature_name").agg(F.max("n_shards").alias("n_shards"))
     spread = F.explode(F.sequence(F.lit(0), (F.col("n_shards") - 1).cast("int"))).alias("shard")
-    return model.join(broadcast_if_small(counts), "feature_name").select(*model.columns, spread)
+    return model.join(broadcast_if_small(counts), "feature_name").select(
+        *[F.col(c).alias(c) for c in model.columns], spread
+    )
 
 
 def fit(labelled: DataFrame, kind: str = "word", text: str = "plain", description_chars: int | None = None,

@@ -6,7 +6,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from merkmal.functions.text import blank_if_null
+from merkmal.functions.patterns import once
+from merkmal.functions.text import blank_if_null, substrings
 from merkmal.operators.scale import best_per_key, broadcast_if_small
 
 SEMANTIC_THRESHOLD = 0.72
@@ -16,8 +17,9 @@ BLOCK = 2048
 def normalised(vector: Column) -> Column:
     """Vector of length one; a zero vector stays zero."""
     wide = F.transform(vector, lambda x: x.cast("double"))
-    norm = F.sqrt(F.aggregate(wide, F.lit(0.0), lambda a, x: a + x * x))
-    return F.when(norm > 0, F.transform(wide, lambda x: x / norm)).otherwise(wide)
+    norm = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
+    scaled = lambda v: once(norm(v), lambda n: F.when(n > 0, F.transform(v, lambda x: x / n)).otherwise(v))
+    return once(wide, scaled)
 
 
 def _blocks(df: DataFrame, slot: list[str], row_key: str, name: str, size: int) -> DataFrame:
@@ -27,7 +29,9 @@ def _blocks(df: DataFrame, slot: list[str], row_key: str, name: str, size: int)
 
 def _copied(df: DataFrame, counts: DataFrame, slot: list[str], name: str) -> DataFrame:
     spread = F.explode(F.sequence(F.lit(0), F.col(f"n_{name}") - 1)).alias(name)
-    return df.join(broadcast_if_small(counts), slot).select(*df.columns, spread)
+    return df.join(broadcast_if_small(counts), slot).select(
+        *[F.col(c).alias(c) for c in df.columns], spread
+    )
 
 
 def best_in_slot(texts: DataFrame, values: DataFrame, slot: list[str], threshold: float = SEMANTIC_THRESHOLD,
@@ -76,13 +80,14 @@ def trigram_vector(text: Column, dim: int = 64) -> Column:
     """Counts of character trigrams in ``dim`` buckets; stands in for an encoder
     when no vector table is given."""
     padded = F.concat(F.lit(" "), F.lower(text), F.lit(" "))
-    code = lambda i: F.ascii(F.substring(padded, i, F.lit(1)))
-    bucket = lambda i: F.pmod(code(i) * 31 * 31 + code(i + 1) * 31 + code(i + 2), F.lit(dim))
-    length = F.length(padded)
-    buckets = F.when(length >= 3, F.transform(F.sequence(F.lit(1), length - 2), bucket)).otherwise(F.array().cast("array<int>"))
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(dim - 1)), lambda d: F.size(F.filter(buckets, lambda b: b == d)).cast("double")
+    code = lambda gram, i: F.ascii(F.substring(gram, i, 1))
+    buckets = F.transform(
+        substrings(padded, 3), lambda g: F.pmod(code(g, 1) * 31 * 31 + code(g, 2) * 31 + code(g, 3), F.lit(dim))
+    )
+    counts = lambda found: F.transform(
+        F.sequence(F.lit(0), F.lit(dim - 1)), lambda d: F.size(F.filter(found, lambda b: b == d)).cast("double")
     )
+    return once(buckets, counts)
 
 
 def semantic_layer(rows: DataFrame, slots: DataFrame, threshold: float = SEMANTIC_THRESHOLD,
