@@ -45,7 +45,7 @@ def replies(spark, sf):
         F.when(kind == 0, F.concat(F.lit(" "), whole, F.lit("\n")))
         .when(kind == 1, F.concat(F.lit("Here it is:\n```json\n"), whole, F.lit("\n```")))
         .when(kind == 2, short)
-        .otherwise(F.concat(whole, F.lit("[")))
+        .otherwise(F.concat(F.lit("["), F.array_join(lines, ", ")))
     )
     return grouped.select("batch_id", text.alias("response"), F.length(text).cast("bigint").alias("input_tokens"), (F.size("o") * 12).cast("bigint").alias("output_tokens"))
 
@@ -69,7 +69,7 @@ _B = {
     "feature_line": """SELECT category, string_agg(CASE WHEN slot_type = 'categorical'
           THEN '  "' || feature_name || '" (categorical): [' || array_to_string(list_transform(listed[1:50], lambda v: CAST(to_json(v) AS VARCHAR)), ', ') || ']'
           ELSE '  "' || feature_name || '" (numeric, e.g. ' || array_to_string(listed[1:5], ', ') || ')' END, chr(10) ORDER BY feature_name) AS features FROM slots GROUP BY category""",
-    "reply": """SELECT batch_id, n, 2 * n AS k, CASE batch_id % 4 WHEN 0 THEN length(w) + 2 WHEN 1 THEN length(w) + 24 WHEN 2 THEN length(short) ELSE length(w) + 1 END AS n_chars FROM (
+    "reply": """SELECT batch_id, n, 2 * n AS k, CASE batch_id % 4 WHEN 0 THEN length(w) + 2 WHEN 1 THEN length(w) + 24 WHEN 2 THEN length(short) ELSE length(w) - 1 END AS n_chars FROM (
         SELECT batch_id, count(*) AS n, '[' || string_agg(l, ', ' ORDER BY idx) || ']' AS w, '[' || coalesce(string_agg(l, ', ' ORDER BY idx) FILTER (idx > 1), '') || ']' AS short
         FROM (SELECT batch_id, idx, '{"Material": "M' || uid || '", "Farbe": null}' AS l FROM batched) GROUP BY batch_id)""",
 }

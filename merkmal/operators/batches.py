@@ -100,11 +100,13 @@ def prompts(batches: DataFrame, slots: DataFrame) -> DataFrame:
 
 
 def parse_reply(reply: Column) -> Column:
-    """JSON array of objects, or the outermost bracket inside other text; else null."""
-    schema = "array<map<string,string>>"
-    whole = F.from_json(F.trim(reply), schema)
-    inner = F.from_json(F.regexp_extract(reply, r"(?s)\[.*\]", 0), schema)
-    return F.coalesce(whole, inner)
+    """JSON array of objects, or the outermost bracket inside other text; else null.
+
+    The text is read as a member of an object: the JSON reader ignores what
+    follows a bare array, while inside an object it makes the text unreadable.
+    """
+    read = lambda text: F.from_json(F.concat(F.lit('{"r":'), text, F.lit("}")), "r array<map<string,string>>")["r"]
+    return F.coalesce(read(reply), read(F.regexp_extract(reply, r"(?s)\[.*\]", 0)))
 
 
 def accepted_values(batches: DataFrame, replies: DataFrame) -> DataFrame:

@@ -89,6 +89,15 @@ def rank_within(df: DataFrame, keys: list[str], order: list[str], rank: str = "p
     )
 
 
+def group_tasks(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Shuffle by the group keys into the configured number of partitions.
+
+    Adaptive execution merges partitions by bytes, which would pack groups that
+    are small but costly to compute into few tasks; an explicit number is kept.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def sharded(df: DataFrame, keys: list[str], row_key: list[str], rows_per_shard: int) -> DataFrame:
     """Add ``shard``: each key's rows are hashed into pieces of bounded expected size."""
     sizes = df.groupBy(*keys).agg(F.ceil(F.count("*") / F.lit(rows_per_shard)).alias("n_shards"))

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from merkmal.functions.text import char_terms, piped_text, plain_text, word_terms
-from merkmal.operators.scale import broadcast_if_small, sharded, top_per_group
+from merkmal.operators.scale import broadcast_if_small, group_tasks, sharded, top_per_group
 from merkmal.session import cut_lineage
 
 MIN_ROWS, MIN_CLASSES, MAX_CLASSES, MAX_TERMS = 30, 2, 1000, 5000
@@ -103,36 +103,37 @@ def fit_shard(rows: list, labels: np.ndarray, class_weight: np.ndarray, weights:
               epochs: int, seed: int, alpha: float = 1e-4, patience: int = 5, tol: float = 1e-3) -> None:
     """Stochastic descent on the modified Huber loss, one against the rest.
 
-    All classes of a row move in one vector step. The L2 shrinkage is kept as a
-    common factor and applied at the end.
+    ``weights`` (term x class) and ``bias`` are changed in place. All classes of a
+    row move in one vector step. The L2 shrinkage is kept as a common factor and
+    applied at the end.
     """
     rng = np.random.default_rng(seed)
     step, factor, best, waited = 0, 1.0, np.inf, 0
     start = 1.0 / (10.0 * alpha)
+    one = len(bias) == 1  # two classes share one margin: the sign says which
+    signs = np.array([[-1.0], [1.0]]) if one else 2.0 * np.eye(len(bias)) - 1.0
+    costs = class_weight[:, None] if one else 1.0 + np.diag(class_weight - 1.0)
     for _ in range(epochs):
         total = 0.0
         for r in rng.permutation(len(rows)):
             at, value = rows[r]
+            label = labels[r]
             eta = 1.0 / (alpha * (start + step))
             step += 1
-            label = labels[r]
-            if len(bias) == 1:  # two classes: the sign says which
-                sign, own = np.array([2.0 * label - 1.0]), 0
-            else:
-                sign, own = np.full(bias.shape, -1.0), label
-                sign[own] = 1.0
-            z = sign * (factor * (weights[:, at] @ value) + bias)
-            slope = np.where(z >= 1, 0.0, np.where(z >= -1, 2 * (z - 1), -4.0)) * sign
-            total += np.where(z >= 1, 0.0, np.where(z >= -1, (1 - z) ** 2, -4 * z)).sum()
-            slope[own] *= class_weight[label]
+            held = weights[at]
+            z = signs[label] * (factor * (value @ held) + bias)
             factor *= max(0.0, 1.0 - eta * alpha)
             if factor < 1e-9:
                 weights *= factor
-                factor = 1.0
-            moved = np.nonzero(slope)[0]
-            if len(moved):
-                weights[np.ix_(moved, at)] -= (eta / factor) * slope[moved, None] * value[None, :]
-                bias[moved] -= 0.01 * eta * slope[moved]
+                held, factor = weights[at], 1.0
+            if z.min() >= 1:
+                continue
+            inside = np.maximum(np.minimum(z, 1.0), -1.0)
+            gap = inside - 1.0
+            total += gap @ gap + 4.0 * np.maximum(inside - z, 0.0).sum()
+            move = (2.0 * eta) * gap * signs[label] * costs[label]
+            weights[at] = held - np.outer(value, move / factor)
+            bias -= 0.01 * move
         waited = waited + 1 if total > best - tol * len(rows) else 0
         best = min(best, total)
         if waited >= patience:
@@ -141,11 +142,11 @@ def fit_shard(rows: list, labels: np.ndarray, class_weight: np.ndarray, weights:
 
 
 def read_model(pdf: pd.DataFrame):
-    """Index, idf, weight matrix (class x term), intercepts and classes."""
+    """Index, idf, weight matrix (term x class), intercepts and classes."""
     head = pdf[pdf["term"].isna()].iloc[0]
     terms = pdf[pdf["term"].notna()].sort_values("term")
     index = {t: i for i, t in enumerate(terms["term"])}
-    matrix = np.array(terms["weights"].tolist(), dtype=float).T.reshape(len(head["classes"]), len(terms))
+    matrix = np.array(terms["weights"].tolist(), dtype=float).reshape(len(terms), len(head["classes"]))
     return index, terms["idf"].to_numpy(float), matrix, np.array(head["weights"], dtype=float), list(head["classes"])
 
 
@@ -226,20 +227,21 @@ def _fit_round(rows: DataFrame, model: DataFrame, kind: str, epochs: int, seed:
         balance = sizes.sum() / (len(sizes) * sizes)
         vectors = [sparse_row(t, kind, index, idf) for t in data["text"]]
         one = len(classes) == 2  # a single margin, for the second class
-        used, ends = (matrix[1:], bias[1:]) if one else (matrix, bias)
+        used, ends = (matrix[:, 1:], bias[1:]) if one else (matrix, bias)
         fit_shard(vectors, labels, balance, used, ends, epochs, seed)
         share = len(data) / float(data["n_rows"].iloc[0])
         return pd.DataFrame(
             {
                 "feature_name": key[0],
                 "term": [None, *index],
-                "weights": [bias.tolist(), *matrix.T.tolist()],
+                "weights": [bias.tolist(), *matrix.tolist()],
                 "share": share,
             }
         )
 
     keys = ["feature_name", "shard"]
-    learned = rows.groupBy(*keys).cogroup(_copies(model, rows).groupBy(*keys)).applyInPandas(
+    states = group_tasks(_copies(model, rows), keys)
+    learned = group_tasks(rows, keys).groupBy(*keys).cogroup(states.groupBy(*keys)).applyInPandas(
         run, "feature_name string, term string, weights array<double>, share double"
     )
     # One value per (term, class) is averaged over the shards; only then is the array rebuilt.
@@ -282,12 +284,12 @@ def score(rows: DataFrame, model: DataFrame, text: dict[str, str] | None = None,
             if len(mine) and len(data):
                 index, idf, matrix, bias, classes = read_model(mine)
                 if len(classes) == 2:
-                    matrix, bias = matrix[1:], bias[1:]
+                    matrix, bias = matrix[:, 1:], bias[1:]
                 number = {c: i for i, c in enumerate(classes)}
                 best = []
                 for words, allowed in zip(data[f"text_{kind}"], data["allowed"]):
                     at, value = sparse_row(words, kind, index, idf)
-                    p = probabilities(matrix[:, at] @ value + bias)
+                    p = probabilities(value @ matrix[at] + bias)
                     options = sorted(number[a] for a in allowed if a in number) if len(allowed) else range(len(classes))
                     top = max(options, key=lambda c: p[c], default=None)
                     best.append((classes[top], float(p[top])) if top is not None and p[top] > 0 else (None, 0.0))
@@ -299,7 +301,8 @@ def score(rows: DataFrame, model: DataFrame, text: dict[str, str] | None = None,
         f", {k}_value string, {k}_confidence double" for k in kinds
     )
     keys = ["feature_name", "shard"]
-    return spread.groupBy(*keys).cogroup(_copies(model, spread).groupBy(*keys)).applyInPandas(run, schema)
+    states = group_tasks(_copies(model, spread), keys)
+    return group_tasks(spread, keys).groupBy(*keys).cogroup(states.groupBy(*keys)).applyInPandas(run, schema)
 
 
 def ensemble_choice(scored: DataFrame) -> DataFrame:

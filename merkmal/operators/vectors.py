@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from merkmal.functions.patterns import once
 from merkmal.functions.text import blank_if_null, substrings
-from merkmal.operators.scale import best_per_key, broadcast_if_small
+from merkmal.operators.scale import best_per_key, broadcast_if_small, group_tasks
 
 SEMANTIC_THRESHOLD = 0.72
 BLOCK = 2048
@@ -59,7 +59,7 @@ def best_in_slot(texts: DataFrame, values: DataFrame, slot: list[str], threshold
         y = np.array(b["vec"].tolist(), dtype=float)
         unit = lambda m: m / np.where((n := np.linalg.norm(m, axis=1, keepdims=True)) > 0, n, 1)
         product = unit(x) @ unit(y).T
-        best = product.argmax(axis=1)
+        best = product.round(9).argmax(axis=1)  # equal up to rounding: the first value wins
         out = a[[*slot, key]].copy()
         out["value"] = b["value"].to_numpy()[best]
         out["similarity"] = product[np.arange(len(a)), best]
@@ -68,8 +68,9 @@ def best_in_slot(texts: DataFrame, values: DataFrame, slot: list[str], threshold
     types = {f.name: f.dataType.simpleString() for f in [*texts.schema, *values.schema]}
     schema = ", ".join(f"{c} {types[c]}" for c in [*slot, key, "value"]) + ", similarity double"
     keys = [*slot, "text_block", "value_block"]
-    per_block = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(run, schema)
-    best = best_per_key(per_block, [*slot, key], [-F.col("similarity"), F.col("value")], ["value", "similarity"])
+    texts_side, values_side = group_tasks(left, keys), group_tasks(right, keys)
+    per_block = texts_side.groupBy(*keys).cogroup(values_side.groupBy(*keys)).applyInPandas(run, schema)
+    best = best_per_key(per_block, [*slot, key], [-F.round("similarity", 9), F.col("value")], ["value", "similarity"])
     found = texts.select(*slot, key).join(best, [*slot, key], "left")
     return found.withColumn("similarity", F.coalesce("similarity", F.lit(0.0))).withColumn(
         "value", F.when(F.col("similarity") >= threshold, F.col("value"))
