@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import difflib
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import arrow_udf
 
 
 def reachable(word: Column, candidates: Column, cutoff: float) -> Column:
@@ -31,23 +33,25 @@ def closest(cutoff: float):
     so that the optimizer does not copy the call into a filter above it.
     """
 
-    @pandas_udf("array<string>")
-    def pick(words: pd.Series, candidates: pd.Series) -> pd.Series:
+    @arrow_udf("array<string>")
+    def pick(words: pa.Array, candidates: pa.Array) -> pa.Array:
         known: dict = {}
 
         def one(word, options):
+            if options is None:
+                return None
             key = (word, tuple(options))
             if key not in known:
                 best = difflib.get_close_matches(word, key[1], n=1, cutoff=cutoff)
                 known[key] = best[0] if best else None
             return known[key]
 
-        return pd.Series(
-            [
-                None if w is None else [None if o is None else one(x, o) for x, o in zip(w, c)]
-                for w, c in zip(words, candidates)
-            ],
-            dtype=object,
-        )
+        picked = [None] * len(words)
+        for i in np.flatnonzero(pc.list_value_length(words).to_numpy(zero_copy_only=False)):
+            picked[i] = [one(w, o) for w, o in zip(words[i].as_py(), candidates[i].as_py())]
+        return pa.array(picked, pa.list_(pa.string()))
 
-    return pick.asNondeterministic()
+    call = pick.asNondeterministic()
+    # Rows that ask nothing send empty arrays: long runs of null arrays are slow to write to Arrow.
+    none = F.array().cast("array<string>")
+    return lambda words, options: call(F.coalesce(words, none), F.coalesce(options, F.array(none)))
