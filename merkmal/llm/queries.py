@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from merkmal.llm.licenses import op5_licenses
 from merkmal.llm.packing import op1_packing
 from merkmal.llm.sharding import op8_sharding
+from merkmal.llm.warc import OP6_SQL, op6_warc
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op5_licenses": op5_licenses,
+    "op6_warc": op6_warc,
     "op8_sharding": op8_sharding,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_warc": OP6_SQL,
+}
