@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from merkmal.llm.decontaminate import op3_decontaminate
+from merkmal.llm.html_text import op9_html_text
 from merkmal.llm.licenses import op5_licenses
 from merkmal.llm.packing import op1_packing
 from merkmal.llm.sharding import op8_sharding
@@ -9,9 +11,11 @@ from merkmal.llm.warc import OP6_SQL, op6_warc
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op3_decontaminate": op3_decontaminate,
     "op5_licenses": op5_licenses,
     "op6_warc": op6_warc,
     "op8_sharding": op8_sharding,
+    "op9_html_text": op9_html_text,
 }
 
 ORACLES: dict[str, str] = {
