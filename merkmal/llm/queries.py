@@ -7,10 +7,12 @@ from merkmal.llm.html_text import op9_html_text
 from merkmal.llm.licenses import op5_licenses
 from merkmal.llm.packing import op1_packing
 from merkmal.llm.sharding import op8_sharding
+from merkmal.llm.toxicity import op2_toxicity
 from merkmal.llm.warc import OP6_SQL, op6_warc
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_toxicity": op2_toxicity,
     "op3_decontaminate": op3_decontaminate,
     "op5_licenses": op5_licenses,
     "op6_warc": op6_warc,
