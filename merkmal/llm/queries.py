@@ -5,6 +5,7 @@ from __future__ import annotations
 from merkmal.llm.decontaminate import op3_decontaminate
 from merkmal.llm.html_text import op9_html_text
 from merkmal.llm.licenses import op5_licenses
+from merkmal.llm.near_vectors import op10_near_vectors
 from merkmal.llm.packing import op1_packing
 from merkmal.llm.sharding import op8_sharding
 from merkmal.llm.toxicity import op2_toxicity
@@ -18,6 +19,7 @@ QUERIES = {
     "op6_warc": op6_warc,
     "op8_sharding": op8_sharding,
     "op9_html_text": op9_html_text,
+    "op10_near_vectors": op10_near_vectors,
 }
 
 ORACLES: dict[str, str] = {
