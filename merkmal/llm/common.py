@@ -58,6 +58,46 @@ class WordHashes(dict):
         return np.fromiter((self[w] for w in words), dtype=np.uint64, count=len(words))
 
 
+_SPREAD = np.random.default_rng(7).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_POWERS = np.cumprod(np.full(1 << 16, 0x9E3779B97F4A7C15, dtype=np.uint64))
+_CHUNK = 1 << 20
+
+
+def text_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the white-space separated words of all texts end to end, and the number of words of each.
+
+    A word's hash is a sum over its bytes of a random value per byte value times a power per place, mixed. Chunks of
+    texts are hashed at once without making an object per word.
+    """
+    hashes, sizes, held, size = [], [], [], 0
+    for i, text in enumerate(texts):
+        held.append(text)
+        size += len(text) + 1
+        if size >= _CHUNK or i == len(texts) - 1:
+            h, n = _chunk_hashes(held)
+            hashes.append(h)
+            sizes.append(n)
+            held, size = [], 0
+    if not hashes:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    return np.concatenate(hashes), np.concatenate(sizes)
+
+
+def _chunk_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    data = np.frombuffer(b" " + b" ".join(texts) + b" ", np.uint8)
+    inside = (data != 32) & (data - np.uint8(9) > 4)  # 9 to 13 are white space too
+    first = np.flatnonzero(inside[1:] & ~inside[:-1]) + 1
+    ends = np.cumsum(np.array([len(t) + 1 for t in texts], dtype=np.int64)) + 1
+    sizes = np.diff(np.searchsorted(first, ends), prepend=0)
+    if not len(first):
+        return np.empty(0, np.uint64), sizes
+    place = np.flatnonzero(inside)
+    start = np.searchsorted(place, first)
+    length = np.diff(start, append=len(place))
+    at = np.arange(len(place)) - np.repeat(start, length)
+    return mixed(np.add.reduceat(_SPREAD[data[place]] * _POWERS[at & 0xFFFF], start)), sizes
+
+
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 

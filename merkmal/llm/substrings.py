@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from merkmal.llm.common import WordHashes, read_table, rolling
+from merkmal.llm.common import read_table, rolling, text_hashes
 from merkmal.llm.packed import (
     from_planes, group_bits, packed_by_home, packed_sorted, planes, unpacked_sorted, unpacked_table,
 )
@@ -38,11 +38,9 @@ class Texts:
         ids = self.table.column("doc_id")
         self.known = np.array(ids.is_valid().to_numpy(zero_copy_only=False), dtype=bool)
         self.ids = np.array([i or 0 for i in ids.to_pylist()], dtype=np.int64)
-        cache = WordHashes()
-        hashes = [cache.of(self.words(i)) for i in range(table.num_rows)]
-        self.sizes = np.array([len(h) for h in hashes], dtype=np.int64)
+        texts = self.table.column("text").cast(pa.binary()).to_pylist()
+        self.hashes, self.sizes = text_hashes([t or b"" for t in texts])
         self.starts = np.cumsum(self.sizes) - self.sizes
-        self.hashes = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
 
     def words(self, i: int) -> list[bytes]:
         value = self.table.column("text")[i]
