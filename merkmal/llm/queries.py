@@ -8,6 +8,7 @@ from merkmal.llm.licenses import op5_licenses
 from merkmal.llm.near_vectors import op10_near_vectors
 from merkmal.llm.packing import op1_packing
 from merkmal.llm.sharding import op8_sharding
+from merkmal.llm.shingle_join import op7_shingle_join
 from merkmal.llm.substrings import op4_substrings
 from merkmal.llm.toxicity import op2_toxicity
 from merkmal.llm.warc import OP6_SQL, op6_warc
@@ -19,6 +20,7 @@ QUERIES = {
     "op4_substrings": op4_substrings,
     "op5_licenses": op5_licenses,
     "op6_warc": op6_warc,
+    "op7_shingle_join": op7_shingle_join,
     "op8_sharding": op8_sharding,
     "op9_html_text": op9_html_text,
     "op10_near_vectors": op10_near_vectors,
