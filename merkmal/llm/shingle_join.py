@@ -25,6 +25,7 @@ PERCENT = 75
 SMALL, SMALL_BITS, BAND_BITS = 48, 5, 7
 FILTER_BITS = 23
 SEEDS = 6
+SKETCH = 8
 
 _INT, _BIN, _LONG = pa.int32(), pa.binary(), pa.int64()
 
@@ -62,74 +63,93 @@ def most_difference(n: int) -> int:
     return (n + n * 100 // PERCENT) * (100 - PERCENT) // (100 + PERCENT)
 
 
-def _segments(tokens: np.ndarray, b: int, seed: int):
-    """Segment hashes of a set, sizes of the segments, and its elements in segment order."""
-    bits = SMALL_BITS if b == 0 else BAND_BITS + 2 * (b - 1)
-    at = mixed(tokens + np.uint64(0x51ED27 * (seed + 1))) >> np.uint64(64 - bits)
-    order = np.argsort(at, kind="stable")
-    at, spread = at[order], mixed(tokens[order] ^ np.uint64(0xA5A5A5A5))
-    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    name = mixed(at[first] + np.uint64((b + 1) << 40) + np.uint64(seed << 50))
-    return np.add.reduceat(spread, first) + name, np.diff(first, append=len(at)), first, spread
-
-
 class Entries:
-    """Index entries of a set in one band: whole segments, and for small sets one-deletion neighbours and single elements."""
-
-    def __init__(self, tokens: np.ndarray, b: int, seed: int):
-        whole, self.sizes, first, spread = _segments(tokens, b, seed)
-        self.whole = mixed(whole)
-        self.lacking = self.owner = self.single = np.empty(0, np.uint64)
-        if b == 0:
-            self.owner = np.repeat(np.arange(len(whole)), self.sizes)
-            two = self.sizes[self.owner] > 1
-            self.owner = self.owner[two]
-            self.lacking = mixed(whole[self.owner] - spread[two])
-            self.single = mixed(spread + np.uint64(0x77777777))
-
-    def all(self) -> np.ndarray:
-        return np.concatenate([self.whole, self.lacking, self.single]).astype(np.uint64)
-
-
-def entries(tokens: np.ndarray, seed: int) -> list[Entries]:
-    """Entries in the band of the set, and in the band below if a partner can be there."""
-    n = len(tokens)
-    b = band(n)
-    out = [Entries(tokens, b, seed)]
-    if b and -(-n * PERCENT // 100) < band_floor(b):
-        out.append(Entries(tokens, b - 1, seed))
-    return out
-
+    """Index entries of many sets in flat arrays, ordered by set.
 
-def allocation(own: Entries, n: int, frequency) -> np.ndarray | None:
-    """Entries to look up, the cheapest that fill ``H + 1`` units; empty if no partner is possible, None if units are short.
+    A set has an entry per non-empty segment (WHOLE) in its own band and, if a
+    partner can be there, in the band below. Sets of band 0 also have one per
+    segment and element left out of it (LACKING) and one per element (SINGLE).
+    """
 
-    ``frequency`` gives the number of sets per entry. Small sets that run short
-    of segments and deletions look up their single elements.
+    WHOLE, LACKING, SINGLE = 0, 1, 2
+
+    def __init__(self, sets: list[np.ndarray], seed: int):
+        self.sizes = np.array([len(x) for x in sets], dtype=np.int64)
+        self.bands = np.array([band(n) for n in self.sizes], dtype=np.int64)
+        floors = np.array([band_floor(b) for b in self.bands], dtype=np.int64)
+        doc = np.repeat(np.arange(len(sets)), self.sizes)
+        tokens = np.concatenate(sets) if sets else np.empty(0, np.uint64)
+        below = (self.bands > 0) & (-(-self.sizes * PERCENT // 100) < floors)
+        parts = [self._of(doc, tokens, self.bands, seed, True), self._of(doc[below[doc]], tokens[below[doc]], self.bands - 1, seed, False)]
+        self.doc, self.kind, self.own, self.segment, self.value = (np.concatenate([p[i] for p in parts]) for i in range(5))
+        order = np.argsort(self.doc, kind="stable")
+        self.doc, self.kind, self.own, self.segment, self.value = (x[order] for x in (self.doc, self.kind, self.own, self.segment, self.value))
+        self.starts = np.searchsorted(self.doc, np.arange(len(sets) + 1))
+
+    @staticmethod
+    def _of(doc, tokens, bands, seed: int, own: bool):
+        if not len(doc):
+            empty = np.empty(0, np.int64)
+            return empty, empty, empty.astype(bool), empty, np.empty(0, np.uint64)
+        b = bands[doc]
+        bits = np.where(b == 0, SMALL_BITS, BAND_BITS + 2 * (b - 1)).astype(np.uint64)
+        at = mixed(tokens + np.uint64(0x51ED27 * (seed + 1))) >> (np.uint64(64) - bits)
+        order = np.argsort((doc.astype(np.uint64) << np.uint64(32)) | at, kind="stable")
+        doc, at, b, spread = doc[order], at[order], b[order], mixed(tokens[order] ^ np.uint64(0xA5A5A5A5))
+        first = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (doc[1:] != doc[:-1])]))
+        size = np.diff(first, append=len(at))
+        whole = np.add.reduceat(spread, first) + mixed(at[first] + ((b[first].astype(np.uint64) + np.uint64(1)) << np.uint64(40)) + np.uint64(seed << 50))
+        segment = np.repeat(np.arange(len(first)), size)
+        wide = (b == 0) & (size[segment] > 1)
+        small = b == 0
+        docs = np.concatenate([doc[first], doc[wide], doc[small]])
+        kinds = np.repeat([Entries.WHOLE, Entries.LACKING, Entries.SINGLE], [len(first), wide.sum(), small.sum()])
+        segments = np.concatenate([np.arange(len(first)), segment[wide], segment[small]])
+        values = np.concatenate([mixed(whole), mixed(whole[segment[wide]] - spread[wide]), mixed(spread[small] + np.uint64(0x77777777))])
+        return docs, kinds, np.full(len(docs), own), segments, values
+
+
+def allocation(kind: np.ndarray, segment: np.ndarray, value: np.ndarray, cost: np.ndarray, n: int) -> np.ndarray | None:
+    """Entries of one set (in its own band) to look up: the cheapest that fill ``H + 1`` units.
+
+    ``cost`` is the number of sets per entry; entries of cost 1 fill a unit
+    without a lookup. Empty if no partner is possible. Small sets that run short of segments
+    take one-deletion neighbourhoods, then single elements; None if units are short even so.
     """
     units = most_difference(n) + 1
-    cost = frequency(own.whole)
-    need = units - int((cost <= 1).sum())
+    whole = np.flatnonzero(kind == Entries.WHOLE)
+    need = units - int((cost[whole] <= 1).sum())
     if need <= 0:
-        return np.empty(0, np.uint64)
-    shared = np.flatnonzero(cost > 1)
+        return value[:0]
+    shared = whole[cost[whole] > 1]
     shared = shared[np.argsort(cost[shared], kind="stable")]
-    chosen = [own.whole[shared[:need]]]
+    chosen = [value[shared[:need]]]
     need -= len(shared[:need])
-    if need > 0 and len(own.lacking):
-        wide = np.unique(own.owner)
-        price = np.bincount(own.owner, weights=frequency(own.lacking), minlength=len(own.whole))
-        wide = wide[np.argsort(price[wide], kind="stable")][:need]
-        chosen += [own.lacking[np.isin(own.owner, wide)], own.whole[wide]]
+    lacking = np.flatnonzero(kind == Entries.LACKING)
+    if need > 0 and len(lacking):
+        wide, place = np.unique(segment[lacking], return_inverse=True)
+        wide = wide[np.argsort(np.bincount(place, weights=cost[lacking]), kind="stable")][:need]
+        chosen += [value[lacking[np.isin(segment[lacking], wide)]], value[whole[np.isin(segment[whole], wide)]]]
         need -= len(wide)
     if need > 0:
-        if not len(own.single):
+        single = np.flatnonzero(kind == Entries.SINGLE)
+        if not len(single):
             return None
-        cost = frequency(own.single)
-        chosen = [own.single[np.argsort(cost, kind="stable")][: max(1, units)]]
+        chosen = [value[single[np.argsort(cost[single], kind="stable")][:units]]]
     return np.unique(np.concatenate(chosen))
 
 
+def parity_sketch(tokens: np.ndarray, words: int = SKETCH) -> np.ndarray:
+    """``words * 64`` bits, each the parity of the elements hashed to it.
+
+    Every bit in which two sketches differ comes from another element that only one of the sets has, so the
+    number of such bits never exceeds the difference of the sets.
+    """
+    at = (mixed(tokens ^ np.uint64(0x5EED)) % np.uint64(words * 64)).astype(np.int64)
+    odd = np.bincount(at, minlength=words * 64).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.int64)
+
+
 def set_classes(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and a 128-bit hash of the set of every row."""
 
@@ -163,8 +183,7 @@ def index_counts(packed: DataFrame, bits: int, seed: int) -> DataFrame:
 
     def run(key, table):
         _, sets = _home_sets(table)
-        parts = [e.all() for s in sets for e in entries(s, seed)]
-        values, counts = np.unique(np.concatenate(parts), return_counts=True) if parts else (np.empty(0, np.uint64), np.empty(0, np.int64))
+        values, counts = np.unique(Entries(sets, seed).value, return_counts=True)
         buckets, starts = np.unique((values >> np.uint64(64 - bits)).astype(np.int64), return_index=True)
         ends = np.append(starts[1:], len(values)).astype(np.int64)
         short = ((values >> np.uint64(32 - bits)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
@@ -199,38 +218,48 @@ def shared_counts(counted: DataFrame) -> DataFrame:
 
 
 def allocated(packed: DataFrame, shared: DataFrame, bits: int, seed: int) -> DataFrame:
-    """Per set: the entries it looks up (chosen), the entries it holds that others hold (held), and whether units were short."""
+    """Per set that shares entries: those it looks up (chosen), those that others hold (held), and whether units were short.
+
+    ``common`` is the share of its own segments that others hold.
+    """
 
     def run(key, left, right):
         ids, sets = _home_sets(left)
-        own = [entries(s, seed) for s in sets]
-        values, counts = np.unique(np.concatenate([e.all() for x in own for e in x] or [np.empty(0, np.uint64)]), return_counts=True)
+        own = Entries(sets, seed)
+        values, place, counts = np.unique(own.value, return_inverse=True, return_counts=True)
         short = values >> np.uint64(32 - bits)
         for bucket, held, total in zip(*(right.column(c).to_pylist() for c in ("bucket", "held", "counts"))):
             known = (np.uint64(bucket) << np.uint64(32)) | unpacked_sorted(held, np.uint32).astype(np.uint64)
             low, high = np.searchsorted(short, known, "left"), np.searchsorted(short, known, "right")
+            totals = from_planes(total, np.uint32)
             for step in range(int((high - low).max(initial=0))):
                 there = low + step < high
-                counts[(low + step)[there]] = from_planes(total, np.uint32)[there]
-
-        def frequency(x: np.ndarray) -> np.ndarray:
-            return counts[np.searchsorted(values, x)]
-
-        out: dict[str, list] = {"doc": [], "chosen": [], "held": [], "failed": []}
-        for doc, tokens, parts in zip(ids, sets, own):
-            chosen = allocation(parts[0], len(tokens), frequency)
-            every = np.unique(np.concatenate([p.all() for p in parts]))
-            held = every[frequency(every) > 1]
+                counts[(low + step)[there]] = totals[there]
+        cost = counts[place]
+        base = own.own & (own.kind == Entries.WHOLE)
+        segments = np.bincount(own.doc[base], minlength=len(sets))
+        free = np.bincount(own.doc[base & (cost == 1)], minlength=len(sets))
+        some = np.bincount(own.doc[cost > 1], minlength=len(sets)) > 0
+        out: dict[str, list] = {"doc": [], "n": [], "band": [], "common": [], "chosen": [], "held": [], "failed": [], "sketch": []}
+        for i in np.flatnonzero(some | (free < [most_difference(int(n)) + 1 for n in own.sizes])):
+            part = slice(own.starts[i], own.starts[i + 1])
+            mine = own.own[part]
+            chosen = allocation(own.kind[part][mine], own.segment[part][mine], own.value[part][mine], cost[part][mine], int(own.sizes[i]))
+            held = np.unique(own.value[part][cost[part] > 1])
             if chosen is None or len(held):
-                out["doc"].append(int(doc))
+                out["doc"].append(int(ids[i]))
+                out["n"].append(int(own.sizes[i]))
+                out["band"].append(int(own.bands[i]))
+                out["common"].append(1.0 - free[i] / max(1, segments[i]))
                 out["chosen"].append([] if chosen is None else np.intersect1d(chosen, held).view(np.int64))
                 out["held"].append(held.view(np.int64))
                 out["failed"].append(chosen is None)
-        return pa.table({"doc": pa.array(out["doc"], _LONG), "chosen": pa.array(out["chosen"], pa.list_(_LONG)),
-                         "held": pa.array(out["held"], pa.list_(_LONG)), "failed": pa.array(out["failed"], pa.bool_())})
+                out["sketch"].append(parity_sketch(sets[i]))
+        types = {"doc": _LONG, "n": _LONG, "band": _INT, "common": pa.float64(), "chosen": pa.list_(_LONG), "held": pa.list_(_LONG), "failed": pa.bool_(), "sketch": pa.list_(_LONG)}
+        return pa.table({k: pa.array(v, types[k]) for k, v in out.items()})
 
     return packed.groupBy("home").cogroup(shared.groupBy("home")).applyInArrow(
-        run, "doc long, chosen array<long>, held array<long>, failed boolean")
+        run, "doc long, n long, band int, common double, chosen array<long>, held array<long>, failed boolean, sketch array<long>")
 
 
 def needed_filter(ids: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
@@ -287,10 +316,11 @@ def linked_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, s1, s2 and component_id of every row.
 
     Rows with equal sets are one class, kept by its smallest doc_id. Sets that
-    share a chosen entry are first compared with the smallest of its holders;
-    then all pairs of holders that are still in different components and of
-    which one chose the entry are compared. So no link between classes is
-    missed, while a large group of near copies costs one comparison each.
+    share a chosen entry are first compared with one of its holders, that of
+    which most segments are held by others: the original of near copies. Then
+    all pairs of holders are compared that are still in different components,
+    agree in size and in their parity sketches, and of which the smaller chose the entry and the larger may
+    have partners; all this is tested inside the join. So no link between classes is missed, while a large group of near copies costs one comparison each.
     Rows without words link with nothing; rows without doc_id take part only
     through equal sets. Rows with equal ids are one node.
     """
@@ -310,24 +340,34 @@ def linked_components(docs: DataFrame) -> DataFrame:
 
     found = found.join(reps.select(F.col("rep").alias("doc")).distinct(), "doc", "left_semi")  # equal sets of other homes
     looked = found.select(F.explode("chosen").alias("entry")).distinct()
-    holders = found.select("doc", "chosen", F.explode("held").alias("entry")).select(
-        "entry", "doc", F.array_contains("chosen", F.col("entry")).alias("chose"))
+    holders = found.select("doc", "n", "band", "common", "chosen", F.explode("held").alias("entry")).select(
+        "entry", "doc", "n", "band", "common", F.array_contains("chosen", F.col("entry")).alias("chose"), (F.size("chosen") > 0).alias("open"))
     holders = holders.join(looked, "entry", "left_semi")
-    hubs = holders.groupBy("entry").agg(F.min("doc").alias("hub"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    hubs = holders.groupBy("entry").agg(
+        F.max_by(F.struct("doc", "n"), F.struct("common", -F.col("doc"))).alias("hub"), F.count("*").alias("n_holders")
+    ).filter("n_holders > 1").select("entry", F.col("hub.doc").alias("hub"), F.col("hub.n").alias("hub_n"))
     members = cut_lineage(holders.join(hubs, "entry"))
-    first = cut_lineage(members.filter("doc <> hub").select(F.col("doc").alias("a"), F.col("hub").alias("b")).distinct())
-    ids = cut_lineage(first.select(F.col("a").alias("doc")).union(first.select(F.col("b").alias("doc"))).distinct())
+    alike = F.least("n", "hub_n") * 100 >= F.greatest("n", "hub_n") * PERCENT
+    first = members.filter((F.col("doc") != F.col("hub")) & alike).select(F.greatest("doc", "hub").alias("a"), F.least("doc", "hub").alias("b"))
+    first = cut_lineage(first.distinct())
+    ids = cut_lineage(members.select("doc").distinct())
     sets = cut_lineage(sets_of(rows, ids))
     links = cut_lineage(verified(first, sets))
     parts = components(links)
 
     part = F.coalesce("component", "doc")
-    placed = members.drop("hub").join(parts.withColumnRenamed("id", "doc"), "doc", "left").withColumn("part", part).drop("component")
+    placed = members.drop("hub", "hub_n").join(parts.withColumnRenamed("id", "doc"), "doc", "left").withColumn("part", part).drop("component")
     mixed_entries = placed.groupBy("entry").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high").select("entry")
-    open_ = cut_lineage(placed.join(mixed_entries, "entry", "left_semi"))
+    bits_of = found.select("doc", *[F.get("sketch", F.lit(i)).alias(f"k{i}") for i in range(SKETCH)])
+    open_ = cut_lineage(placed.join(mixed_entries, "entry", "left_semi").join(bits_of, "doc"))
     one, two = open_.filter("chose").alias("one"), open_.alias("two")
-    rest = one.join(two, "entry").filter("one.part <> two.part").select(
-        F.least("one.doc", "two.doc").alias("b"), F.greatest("one.doc", "two.doc").alias("a")).distinct()
+    apart = sum((F.bit_count(F.col(f"one.k{i}").bitwiseXOR(F.col(f"two.k{i}"))) for i in range(SKETCH)), F.lit(0))
+    unlike = (
+        (F.col("one.entry") == F.col("two.entry")) & (F.col("one.part") != F.col("two.part")) & (F.col("two.n") >= F.col("one.n"))
+        & (F.col("two.n") * PERCENT <= F.col("one.n") * 100) & (F.col("two.open") | (F.col("two.band") != F.col("one.band")))
+        & (apart * (100 + PERCENT) <= (F.col("one.n") + F.col("two.n")) * (100 - PERCENT))
+    )
+    rest = one.join(two, unlike).select(F.least("one.doc", "two.doc").alias("b"), F.greatest("one.doc", "two.doc").alias("a")).distinct()
     rest = cut_lineage(rest.select("a", "b").join(first, ["a", "b"], "left_anti"))
     parts = components(links.union(verified(rest, sets))).select(F.col("id").alias("rep"), "component")
 
