@@ -1,23 +1,68 @@
-"""The corpus pipeline: packing so far; earlier stages follow."""
+"""From raw documents to packed batches: toxicity, near copies, repeated substrings, benchmark passages, packing."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from merkmal.llm.common import read_table
+from merkmal.llm.decontaminate import contamination
 from merkmal.llm.packing import pack, token_count
+from merkmal.llm.shingle_join import linked_components
+from merkmal.llm.substrings import without_repeats
+from merkmal.llm.toxicity import not_toxic
 from merkmal.session import scratch_path
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not predicted toxic; labels of held-out rows are not used."""
+    return not_toxic(docs, read_table(spark, sf_dir, "labels"))
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of near copies the document with the smallest id; rows without id stay."""
+    gone = linked_components(docs).filter("doc_id <> component_id").select(F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id"))
+    return docs.join(gone.distinct(), "doc_id", "left_anti").select(*docs.columns)
+
+
+def repeated_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages that a document with a smaller id has too; what loses all its words goes.
+
+    A text that loses nothing stays as it is, others become their kept words joined by spaces.
+    """
+    cut = without_repeats(docs, docs.columns).filter("n_removed = 0 or kept <> ''")
+    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
+    cut = cut.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        cut = cut.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return cut.select(*docs.columns)
+
+
+def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of a benchmark item."""
+    hit = contamination(docs, read_table(spark, sf_dir, "benchmark")).filter("contaminated").select("doc_id")
+    return docs.join(hit.distinct(), "doc_id", "left_anti").select(*docs.columns)
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack(docs, token_count(docs["text"]), ["doc_id"])
+    """All documents with their length bucket, batch and slot."""
+    return pack(docs, token_count(docs["text"]), ["doc_id", "text"])
+
 
+STAGES = [
+    ("toxicity", toxicity),
+    ("near_copies", near_copies),
+    ("repeated_substrings", repeated_substrings),
+    ("benchmark_passages", benchmark_passages),
+    ("packing", packing),
+]
 
-STAGES = [("packing", packing)]
+#: Toxicity scores and optimal buckets have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written to the shared folder and read again."""
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = scratch_path(spark, name)

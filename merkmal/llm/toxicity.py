@@ -259,12 +259,10 @@ def evidence(docs: DataFrame, labels: DataFrame, model: np.ndarray, toxic_rows:
     return found, prior
 
 
-def score(docs: DataFrame, lexicon: dict[str, float], prior: float, model: np.ndarray) -> DataFrame:
-    """doc_id and score of every row; a null or empty text has the prior probability."""
-    handle = docs.sparkSession.sparkContext.broadcast((model, lexicon))
-    kind = docs.schema["doc_id"].dataType.simpleString()
+def _scorer(handle, prior: float):
+    """Function from a text column to scores, for use inside a task."""
 
-    def run(batches):
+    def start():
         words, known = Words(handle.value[0]), handle.value[1]
         worth: dict[str, tuple] = {}
 
@@ -293,14 +291,42 @@ def score(docs: DataFrame, lexicon: dict[str, float], prior: float, model: np.nd
                     found.update(weighed(joined))
             return sum(found.values())
 
+        def scores(texts) -> np.ndarray:
+            logits = np.array([prior + (total(t) if t else 0.0) for t in texts.to_pylist()], dtype=np.float64)
+            return 1.0 / (1.0 + np.exp(-np.clip(logits, -30, 30)))
+
+        return scores
+
+    return start
+
+
+def score(docs: DataFrame, lexicon: dict[str, float], prior: float, model: np.ndarray) -> DataFrame:
+    """doc_id and score of every row; a null or empty text has the prior probability."""
+    start = _scorer(docs.sparkSession.sparkContext.broadcast((model, lexicon)), prior)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def run(batches):
+        scores = start()
         for batch in batches:
-            logits = np.array([prior + (total(t) if t else 0.0) for t in batch.column("text").to_pylist()], dtype=np.float64)
-            scores = 1.0 / (1.0 + np.exp(-np.clip(logits, -30, 30)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores)], names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores(batch.column("text")))], names=["doc_id", "score"])
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double")
 
 
+def not_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Rows of ``docs`` that score below ``threshold``, with all their columns; nothing is shuffled."""
+    model = letter_model(docs)
+    lexicon, prior = evidence(docs, labels, model)
+    start = _scorer(docs.sparkSession.sparkContext.broadcast((model, lexicon)), prior)
+
+    def run(batches):
+        scores = start()
+        for batch in batches:
+            yield batch.filter(pa.array(scores(batch.column("text")) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score and predicted of every row of ``docs``.
 
