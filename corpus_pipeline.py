@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from merkmal.llm.common import read_table
 from merkmal.llm.decontaminate import contamination
-from merkmal.llm.packing import pack, token_count
+from merkmal.llm.packing import pack, with_token_count
 from merkmal.llm.shingle_join import linked_components
 from merkmal.llm.substrings import without_repeats
 from merkmal.llm.toxicity import not_toxic
@@ -46,7 +46,7 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with their length bucket, batch and slot."""
-    return pack(docs, token_count(docs["text"]), ["doc_id", "text"])
+    return pack(with_token_count(docs, "_length"), F.col("_length"), ["doc_id", "text"]).drop("_length")
 
 
 STAGES = [

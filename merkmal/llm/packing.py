@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from merkmal.llm.common import WHITE_SPACE, in_cells, read_table, split_words
 from merkmal.session import cut_lineage
@@ -20,6 +21,21 @@ def token_count(text: Column) -> Column:
     return F.size(split_words(F.coalesce(text, F.lit("")), WHITE_SPACE)).cast("long")
 
 
+def with_token_count(docs: DataFrame, column: str) -> DataFrame:
+    """``docs`` with the number of words as a column of its own.
+
+    For tables that are too wide to checkpoint: the optimizer cannot copy this count into every expression that uses it.
+    """
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column("text").cast(pa.binary()).to_pylist()
+            yield batch.append_column(column, pa.array([len(t.split()) if t else 0 for t in texts], pa.int64()))
+
+    docs = docs.drop(column)
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(column, T.LongType())]))
+
+
 def rounded_length(n: Column, exact: int = EXACT_LENGTH, steps: int = STEPS) -> Column:
     """Lengths up to ``exact`` as they are, longer ones rounded up to ``steps`` sizes per doubling.
 
