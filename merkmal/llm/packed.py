@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from merkmal.llm.common import shuffle_parts
 
-GROUP_BYTES = 16 * 1024 * 1024
-FLUSH_BYTES = 32 * 1024 * 1024
+GROUP_BYTES = 8 * 1024 * 1024
+FLUSH_BYTES = 16 * 1024 * 1024
 
 
 def group_bits(docs: DataFrame, column: str = "text", group_bytes: int = GROUP_BYTES) -> int:

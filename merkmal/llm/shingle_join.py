@@ -30,9 +30,23 @@ SKETCH = 8
 _INT, _BIN, _LONG = pa.int32(), pa.binary(), pa.int64()
 
 
-def shingle_sets(texts: list[bytes | None]) -> list[np.ndarray]:
-    """Distinct shingle hashes of each text, ascending; fewer words than a shingle are one shingle, no words none."""
-    hashes, sizes = text_hashes([t.lower() if t else b"" for t in texts])
+def shingle_sets(texts: list[bytes | None], chunk: int = 1 << 20) -> list[np.ndarray]:
+    """Distinct shingle hashes of each text, ascending; fewer words than a shingle are one shingle, no words none.
+
+    About ``chunk`` bytes are hashed at a time, so memory follows the result and the longest text.
+    """
+    out, held, size = [], [], 0
+    for i, text in enumerate(texts):
+        held.append(text.lower() if text else b"")
+        size += len(held[-1])
+        if size >= chunk or i == len(texts) - 1:
+            out += _shingle_sets(held)
+            held, size = [], 0
+    return out
+
+
+def _shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
+    hashes, sizes = text_hashes(texts)
     grams = rolling(hashes, SHINGLE)
     out, start = [], 0
     for n in sizes:
@@ -90,7 +104,7 @@ class Entries:
     def _of(doc, tokens, bands, seed: int, own: bool):
         if not len(doc):
             empty = np.empty(0, np.int64)
-            return empty, empty, empty.astype(bool), empty, np.empty(0, np.uint64)
+            return empty.astype(np.int32), empty.astype(np.int8), empty.astype(bool), empty.astype(np.int32), np.empty(0, np.uint64)
         b = bands[doc]
         bits = np.where(b == 0, SMALL_BITS, BAND_BITS + 2 * (b - 1)).astype(np.uint64)
         at = mixed(tokens + np.uint64(0x51ED27 * (seed + 1))) >> (np.uint64(64) - bits)
@@ -106,7 +120,7 @@ class Entries:
         kinds = np.repeat([Entries.WHOLE, Entries.LACKING, Entries.SINGLE], [len(first), wide.sum(), small.sum()])
         segments = np.concatenate([np.arange(len(first)), segment[wide], segment[small]])
         values = np.concatenate([mixed(whole), mixed(whole[segment[wide]] - spread[wide]), mixed(spread[small] + np.uint64(0x77777777))])
-        return docs, kinds, np.full(len(docs), own), segments, values
+        return docs.astype(np.int32), kinds.astype(np.int8), np.full(len(docs), own), segments.astype(np.int32), values
 
 
 def allocation(kind: np.ndarray, segment: np.ndarray, value: np.ndarray, cost: np.ndarray, n: int) -> np.ndarray | None:

@@ -140,7 +140,7 @@ def disguised(token: str) -> bool:
 class Words(dict):
     """Token as it stands in a text -> tuple of plain words it is read as; bounded memory."""
 
-    def __init__(self, model: np.ndarray, limit: int = 300_000):
+    def __init__(self, model: np.ndarray, limit: int = 100_000):
         super().__init__()
         self.decoder, self.limit = Decoder(model), limit
 
@@ -272,7 +272,7 @@ def _scorer(handle, prior: float):
                 best = max(known.get(f, 0.0) for f in word_features(w))
                 if best:
                     out.append((w, best))
-            if len(worth) >= 500_000:
+            if len(worth) >= 200_000:
                 worth.clear()
             value = worth[token] = tuple(out)
             return value
