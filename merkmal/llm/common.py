@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -41,10 +44,37 @@ def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+_LEAN = False
+
+
+def lean_memory() -> None:
+    """Have freed arrays returned to the system at once; worker processes live on and serve later stages.
+
+    Blocks of 1 MB and more are mapped on their own (mallopt's M_MMAP_THRESHOLD, -3), and Arrow takes its
+    memory from there as well.
+    """
+    global _LEAN
+    if not _LEAN:
+        _LEAN = True
+        try:
+            ctypes.CDLL(None).mallopt(-3, 1 << 20)
+        except AttributeError:  # another C library
+            return
+        pa.set_memory_pool(pa.system_memory_pool())
+
+
+def small_batches(batches, rows: int = 500):
+    """Record batches of at most ``rows`` rows, so that few texts are Python objects at a time."""
+    lean_memory()
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 class WordHashes(dict):
     """64-bit hash of a word; at most ``limit`` are remembered, so memory is bounded."""
 
-    def __init__(self, limit: int = 500_000):
+    def __init__(self, limit: int = 200_000):
         super().__init__()
         self.limit = limit
 

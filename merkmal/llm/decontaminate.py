@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from merkmal.llm.common import ALNUM_TABLE, WordHashes, read_table, rolling
+from merkmal.llm.common import ALNUM_TABLE, WordHashes, read_table, rolling, small_batches
 from merkmal.session import cut_lineage
 
 WINDOW = 10
@@ -71,7 +71,7 @@ def item_fingerprints(items: DataFrame, window: int = WINDOW, gram: int = GRAM)
 
     def run(batches):
         cache = WordHashes()
-        for batch in batches:
+        for batch in small_batches(batches):
             ids, out = [], []
             for item, value in zip(batch.column("item_id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
                 words = _words(value)
@@ -117,7 +117,7 @@ def document_fingerprints(docs: DataFrame, table: np.ndarray, short: list[int],
             at = h >> np.uint64(64 - bits)
             return (bitmap[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) != 0
 
-        for batch in batches:
+        for batch in small_batches(batches):
             counts, out = [], []
             for value in batch.column("text").cast(pa.binary()).to_pylist():
                 words = _words(value)

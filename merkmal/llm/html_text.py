@@ -9,7 +9,7 @@ from html.parser import HTMLParser
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from merkmal.llm.common import read_table
+from merkmal.llm.common import read_table, small_batches
 from merkmal.llm.labelled_pages import PAGES
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -197,7 +197,7 @@ def extract(pages: DataFrame, model: dict) -> DataFrame:
     """page_id, url, text and n_chars of every page; null html gives an empty text."""
 
     def run(batches):
-        for batch in batches:
+        for batch in small_batches(batches):
             texts = [main_text(h, model) if h else "" for h in batch.column("html").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],

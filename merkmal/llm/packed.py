@@ -7,7 +7,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from merkmal.llm.common import shuffle_parts
+from merkmal.llm.common import lean_memory, shuffle_parts
 
 GROUP_BYTES = 8 * 1024 * 1024
 FLUSH_BYTES = 16 * 1024 * 1024
@@ -64,6 +64,7 @@ def packed_by_home(docs: DataFrame, bits: int, key: str = "doc_id", text: str =
     """
 
     def run(batches):
+        lean_memory()
         held, size = [], 0
         for batch in batches:
             held.append(batch)

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from merkmal.llm.common import WHITE_SPACE, in_cells, read_table, split_words
+from merkmal.llm.common import WHITE_SPACE, in_cells, read_table, small_batches, split_words
 from merkmal.session import cut_lineage
 
 BUCKETS = 16
@@ -28,7 +28,7 @@ def with_token_count(docs: DataFrame, column: str) -> DataFrame:
     """
 
     def run(batches):
-        for batch in batches:
+        for batch in small_batches(batches):
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             yield batch.append_column(column, pa.array([len(t.split()) if t else 0 for t in texts], pa.int64()))
 

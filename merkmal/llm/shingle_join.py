@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from merkmal.llm.common import components, mixed, read_table, rolling, text_hashes
+from merkmal.llm.common import components, lean_memory, mixed, read_table, rolling, small_batches, text_hashes
 from merkmal.llm.packed import from_planes, group_bits, packed_by_home, packed_sorted, planes, unpacked_sorted, unpacked_table
 from merkmal.session import cut_lineage
 
@@ -168,7 +168,7 @@ def set_classes(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and a 128-bit hash of the set of every row."""
 
     def run(batches):
-        for batch in batches:
+        for batch in small_batches(batches):
             sets = shingle_sets(batch.column("text").cast(pa.binary()).to_pylist())
             one = [int(mixed(s).sum(dtype=np.uint64)) - (1 << 63) for s in sets]
             two = [int(mixed(s ^ np.uint64(0x1234567)).sum(dtype=np.uint64)) - (1 << 63) for s in sets]
@@ -196,6 +196,7 @@ def index_counts(packed: DataFrame, bits: int, seed: int) -> DataFrame:
     """Per home and bucket: the entries of the home and how many of its sets hold each."""
 
     def run(key, table):
+        lean_memory()
         _, sets = _home_sets(table)
         values, counts = np.unique(Entries(sets, seed).value, return_counts=True)
         buckets, starts = np.unique((values >> np.uint64(64 - bits)).astype(np.int64), return_index=True)
@@ -213,6 +214,7 @@ def shared_counts(counted: DataFrame) -> DataFrame:
     """Per bucket and home: entries of the home that other homes hold too, with their counts over all homes."""
 
     def run(key, table):
+        lean_memory()
         held = [unpacked_sorted(x, np.uint32) for x in table.column("held").to_pylist()]
         counts = [from_planes(x, np.uint32) for x in table.column("counts").to_pylist()]
         values, place, homes = np.unique(np.concatenate(held), return_inverse=True, return_counts=True)
@@ -238,6 +240,7 @@ def allocated(packed: DataFrame, shared: DataFrame, bits: int, seed: int) -> Dat
     """
 
     def run(key, left, right):
+        lean_memory()
         ids, sets = _home_sets(left)
         own = Entries(sets, seed)
         values, place, counts = np.unique(own.value, return_inverse=True, return_counts=True)
@@ -292,7 +295,7 @@ def sets_of(docs: DataFrame, ids: DataFrame, bits: int = FILTER_BITS) -> DataFra
 
     def run(batches):
         table = handle.value
-        for batch in batches:
+        for batch in small_batches(batches):
             slots = batch.column("slot").to_numpy()
             keep = np.flatnonzero((table[slots >> 6] >> (slots & 63).astype(np.uint64)) & np.uint64(1))
             part = batch.take(pa.array(keep))
@@ -310,7 +313,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     both = left.join(sets.select(F.col("doc").alias("b"), F.col("tokens").alias("y")), "b").select("a", "b", "x", "y")
 
     def run(batches):
-        for batch in batches:
+        for batch in small_batches(batches):
             keep, last, y = [], None, None
             for i in range(batch.num_rows):
                 x = unpacked_sorted(batch.column("x")[i].as_py(), np.uint64)

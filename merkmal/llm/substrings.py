@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from merkmal.llm.common import read_table, rolling, text_hashes
+from merkmal.llm.common import lean_memory, read_table, rolling, text_hashes
 from merkmal.llm.packed import (
     from_planes, group_bits, packed_by_home, packed_sorted, planes, unpacked_sorted, unpacked_table,
 )
@@ -82,6 +82,7 @@ def probes(packed: DataFrame, bits: int) -> DataFrame:
     """Per home and bucket: hashes of its indexed blocks, and of its other rolling windows."""
 
     def run(key, table):
+        lean_memory()
         texts = _texts(table)
         flat, doc = texts.places(BLOCK)
         grams = rolling(texts.hashes, BLOCK)[flat] if len(flat) else np.empty(0, np.uint64)
@@ -103,6 +104,7 @@ def hits(probed: DataFrame) -> DataFrame:
     """Per bucket and home: hashes of the home that are a block somewhere and stand in another home too."""
 
     def run(key, table):
+        lean_memory()
         blocks = [unpacked_sorted(x, np.uint32) for x in table.column("blocks").to_pylist()]
         others = [unpacked_sorted(x, np.uint32) for x in table.column("others").to_pylist()]
         index = np.unique(np.concatenate(blocks))
@@ -126,6 +128,7 @@ def spans(packed: DataFrame, found: DataFrame, bits: int) -> DataFrame:
     """Per home and bucket: the distinct windows around hits, and the smallest doc_id of each in the home."""
 
     def run(key, left, right):
+        lean_memory()
         out: dict[str, list] = {"home": [], "bucket": [], "spans": [], "checks": [], "ids": []}
         types = {"home": _INT, "bucket": _INT, "spans": _BIN, "checks": _BIN, "ids": _BIN}
         if not left.num_rows or not right.num_rows:
@@ -162,6 +165,7 @@ def repeats(windows: DataFrame) -> DataFrame:
     """Per bucket and home: windows of the home that start in a smaller document of another home."""
 
     def run(table):
+        lean_memory()
         homes = table.column("home").to_pylist()
         parts = [unpacked_sorted(x, np.uint64) for x in table.column("spans").to_pylist()]
         home = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
@@ -212,6 +216,7 @@ def without_repeats(docs: DataFrame, carry: list[str], digest: bool = False) ->
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + ["n_words long, n_removed long", "kept_sha256 string" if digest else "kept string"])
 
     def run(left, right):
+        lean_memory()
         table = unpacked_table(left.column("payload").to_pylist()) if left.num_rows else None
         if table is None:
             raise ValueError("an answer without its home")

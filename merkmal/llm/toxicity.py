@@ -11,7 +11,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from merkmal.llm.common import ALNUM_TABLE, read_table
+from merkmal.llm.common import ALNUM_TABLE, read_table, small_batches
 
 # Letters that a sign can stand for.
 LEET = {
@@ -69,7 +69,7 @@ def letter_model(docs: DataFrame) -> np.ndarray:
 
     def run(batches):
         total, texts, size = np.zeros(2 * SLOTS, np.int64), [], 0
-        for batch in batches:
+        for batch in small_batches(batches):
             for text in batch.column("text").to_pylist():
                 texts.append(text)
                 size += len(text or "")
@@ -217,7 +217,7 @@ def evidence(docs: DataFrame, labels: DataFrame, model: np.ndarray, toxic_rows:
     rows = docs.select("doc_id", "text").filter("text is not null").join(F.broadcast(ids), "doc_id").select("toxic", "text")
 
     def sketch(batches):
-        for batch in batches:
+        for batch in small_batches(batches):
             marks = [_sketch(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), batch.column("text"), pa.array(marks, pa.int64())], names=["toxic", "text", "sketch"])
 
@@ -227,7 +227,7 @@ def evidence(docs: DataFrame, labels: DataFrame, model: np.ndarray, toxic_rows:
 
     def count(batches):
         words, seen, following = Words(handle.value), {"": [0, 0]}, {}
-        for batch in batches:
+        for batch in small_batches(batches):
             for toxic, text in zip(batch.column("toxic").to_pylist(), batch.column("text").to_pylist()):
                 names = {f: w for w in restored(text, words) for f in word_features(w)}
                 for name in [*names, ""]:
@@ -307,7 +307,7 @@ def score(docs: DataFrame, lexicon: dict[str, float], prior: float, model: np.nd
 
     def run(batches):
         scores = start()
-        for batch in batches:
+        for batch in small_batches(batches):
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores(batch.column("text")))], names=["doc_id", "score"])
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double")
@@ -321,7 +321,7 @@ def not_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
 
     def run(batches):
         scores = start()
-        for batch in batches:
+        for batch in small_batches(batches):
             yield batch.filter(pa.array(scores(batch.column("text")) < threshold))
 
     return docs.mapInArrow(run, docs.schema)
