@@ -74,7 +74,6 @@ PAIRS = {
         f"SELECT '{t}' AS table_name, count(*) AS n_rows, CAST({c} AS BIGINT) AS n_columns FROM {t}"
         for t, c in (("products", 4), ("labels", 5), ("template", 5), ("taxonomy", 5), ("order_catalog", 4), ("document_catalog", 4))),
         "products", "labels", "template", "taxonomy", "order_catalog", "document_catalog")),
-    "column_types": (lambda s, d: P.column_types(tables(s, d)), None),
     "split_counts": (split_counts, with_relations(
         """SELECT 'products' AS kind, CASE WHEN CAST(floor(uid / 16) AS BIGINT) % 10 < 7 THEN 'train' WHEN CAST(floor(uid / 16) AS BIGINT) % 10 < 9 THEN 'val' ELSE 'test' END AS split, count(*) AS n
            FROM products GROUP BY 1, 2 UNION ALL SELECT 'labels', split, count(*) FROM labels GROUP BY split UNION ALL SELECT 'labels', 'test', count(*) FROM template""", "products", "labels", "template")),

@@ -8,7 +8,6 @@ from merkmal.operators.scale import broadcast_if_small, global_rank, rank_within
 
 ESCALATION_RATE = 0.02
 BATCH_SIZE = 30
-MAX_BATCHES = 10_000
 LISTED_VALUES, EXAMPLE_VALUES = 50, 5
 INPUT_USD, OUTPUT_USD = 0.80, 4.00  # per million tokens
 
@@ -20,7 +19,7 @@ def hard_rows(rows: DataFrame, rate: float = ESCALATION_RATE) -> DataFrame:
     return ranked.filter(F.col("hard_rank") <= budget)
 
 
-def product_batches(rows: DataFrame, size: int = BATCH_SIZE, max_batches: int = MAX_BATCHES) -> DataFrame:
+def product_batches(rows: DataFrame, size: int = BATCH_SIZE, max_batches: int | None = None) -> DataFrame:
     """Products of the rows in batches of one category: batch_id, idx, within_budget.
 
     Batches are numbered by category and uid. Those beyond the budget stay in the
@@ -39,7 +38,7 @@ def product_batches(rows: DataFrame, size: int = BATCH_SIZE, max_batches: int =
         placed.join(broadcast_if_small(starts.select("category", "first_batch")), "category")
         .withColumn("batch_id", F.col("first_batch") + F.col("batch_no") + 1)
         .withColumn("idx", (F.col("place") - 1) % size + 1)
-        .withColumn("within_budget", F.col("batch_id") <= max_batches)
+        .withColumn("within_budget", F.lit(True) if max_batches is None else F.col("batch_id") <= max_batches)
         .select("batch_id", "idx", "category", "uid", "title", "within_budget")
     )
 

@@ -14,8 +14,8 @@ def labelled_products(labels: DataFrame, products: DataFrame, columns: list[str]
 
 
 def most_frequent(rows: DataFrame, keys: list[str], value: str = "feature_value") -> DataFrame:
-    """Most frequent value per key; equal counts go to the first in binary order."""
-    counted = rows.groupBy(*keys, value).agg(F.count("*").alias("n")).withColumnRenamed(value, "value")
+    """Most frequent value per key; null values are not counted, equal counts go to the first in binary order."""
+    counted = rows.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("n")).withColumnRenamed(value, "value")
     return best_per_key(counted, keys, [-F.col("n"), F.col("value")], ["value", "n"])
 
 

@@ -30,14 +30,16 @@ def build_session(master: str | None = None, app: str = "merkmal", **conf: str)
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where neither the setting nor the context has one (tests, a laptop)
-    is a folder of our own chosen.
+    Only where neither the setting nor the context has one and the master is
+    local (tests, a laptop) is a folder of our own chosen; elsewhere that is an error.
     """
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current:
         return current
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    if not named and not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     context.setCheckpointDir(named or tempfile.mkdtemp(prefix="merkmal-"))
     return context.getCheckpointDir()
 
