@@ -19,8 +19,8 @@ def hard_rows(spark, sf):
 
 
 def batches(spark, sf):
-    """All products in batches; a small budget leaves most of them outside."""
-    return B.product_batches(D.products(spark, sf), max_batches=40)
+    """All products in batches."""
+    return B.product_batches(D.products(spark, sf))
 
 
 def product_batches(spark, sf):
@@ -86,12 +86,12 @@ PAIRS = {
         """SELECT hard_rank, uid, feature_name FROM (SELECT uid, feature_name, row_number() OVER (ORDER BY confidence, uid, feature_name) AS hard_rank FROM waterfall WHERE predicted_value IS NULL)
            WHERE hard_rank <= (SELECT floor(count(*) * 0.02) FROM waterfall)""", "waterfall")),
     "product_batches": (product_batches, sql(
-        "SELECT batch_id, idx, category, uid, CASE WHEN batch_id <= 40 THEN 1 ELSE 0 END AS within_budget FROM batched", "batched")),
+        "SELECT batch_id, idx, category, uid, 1 AS within_budget FROM batched", "batched")),
     "batch_prompts": (prompts, sql(
         """SELECT batch_id, category, count(*) AS n_products, 'Category: ' || category || chr(10) || 'Features to extract:' || chr(10) || any_value(features) || chr(10) || chr(10) || 'Products:' || chr(10)
              || string_agg('  ' || idx || '. ' || coalesce(title, ''), chr(10) ORDER BY idx) || chr(10) || chr(10) || 'Return JSON array. Object keys = feature names. Example format:' || chr(10)
              || '[{"feature1": "value1", "feature2": "value2"}, ...]' AS prompt
-           FROM batched JOIN feature_line USING (category) WHERE batch_id <= 40 GROUP BY batch_id, category""", "batched", "feature_line")),
+           FROM batched JOIN feature_line USING (category) GROUP BY batch_id, category""", "batched", "feature_line")),
     "parsed_replies": (parsed_replies, sql(
         "SELECT batch_id, CASE batch_id % 4 WHEN 2 THEN n - 1 WHEN 3 THEN NULL ELSE n END AS n_objects FROM reply", "reply")),
     "accepted_values": (accepted, sql(

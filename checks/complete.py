@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.layers import LAYERS, slots
+from checks.layers import LAYERS, closest_sql, full_rule_run, slots
 from checks.relations import with_relations
 from merkmal.operators import complete as C, lookups as L, scoring as S
 from merkmal.operators.waterfall import predict_by_rules
@@ -66,7 +66,8 @@ def accuracy_by_type(spark, sf):
 
 
 def run_counts(spark, sf):
-    return S.run_counts(labelled_rows(spark, sf), filled(spark, sf), validated(spark, sf))
+    mode = L.feature_mode(D.labels(spark, sf).filter("split = 'train'"))
+    return S.run_counts(labelled_rows(spark, sf), slots(spark, sf), mode, fuzzy=False)
 
 
 def template_rows(spark, sf):
@@ -99,19 +100,25 @@ def full_validation_run(spark, sf):
     return S.evaluate(predict(rows, known, semantic=True), truth)
 
 
+_FILLED = """SELECT uid, category, feature_name, w.feature_type, allowed, coalesce(predicted_value, CASE WHEN coalesce(len(allowed), 0) = 0 OR list_contains(allowed, m.value) THEN m.value END, c.value) AS predicted_value,
+          CASE WHEN predicted_value IS NOT NULL THEN confidence WHEN m.value IS NOT NULL AND (coalesce(len(allowed), 0) = 0 OR list_contains(allowed, m.value)) THEN 0.2 WHEN c.value IS NOT NULL THEN 0.15 ELSE confidence END AS confidence,
+          CASE WHEN predicted_value IS NOT NULL THEN layer WHEN m.value IS NOT NULL AND (coalesce(len(allowed), 0) = 0 OR list_contains(allowed, m.value)) THEN 'fallback_mode' WHEN c.value IS NOT NULL THEN 'fallback_common' ELSE layer END AS layer
+        FROM @ROWS@ w LEFT JOIN slots USING (category, feature_name) LEFT JOIN feature_mode m USING (feature_name) LEFT JOIN commonest c USING (category, feature_name)"""
+_VALIDATED = r"""SELECT uid, category, feature_name, feature_type, confidence, layer, predicted_value AS before, CASE WHEN predicted_value IS NULL OR coalesce(len(allowed), 0) = 0 OR list_contains(allowed, predicted_value) THEN predicted_value
+          WHEN feature_type = 'categorical' THEN coalesce(list_min(list_filter(allowed, lambda a: lower(a) = lower(predicted_value))), @CLOSE@predicted_value)
+          WHEN list_contains(allowed, regexp_replace(trim(predicted_value), '\s+', ' ', 'g')) THEN regexp_replace(trim(predicted_value), '\s+', ' ', 'g')
+          ELSE predicted_value END AS predicted_value FROM @ROWS@"""
+
 _C = {
     "labelled_work": """SELECT l.uid, l.feature_name, category, w.feature_type, predicted_value, confidence, layer
         FROM labels l JOIN waterfall w USING (uid, feature_name)""",
     "commonest": """SELECT category, feature_name, value, n FROM (SELECT category, feature_name, value, n, row_number() OVER (PARTITION BY category, feature_name ORDER BY n DESC, value) AS rn
         FROM slot_values JOIN (SELECT feature_name, value, count(*) AS n FROM slot_values GROUP BY 1, 2) USING (feature_name, value)) WHERE rn = 1""",
-    "filled": """SELECT uid, feature_name, w.feature_type, allowed, coalesce(predicted_value, CASE WHEN coalesce(len(allowed), 0) = 0 OR list_contains(allowed, m.value) THEN m.value END, c.value) AS predicted_value,
-          CASE WHEN predicted_value IS NOT NULL THEN confidence WHEN m.value IS NOT NULL AND (coalesce(len(allowed), 0) = 0 OR list_contains(allowed, m.value)) THEN 0.2 WHEN c.value IS NOT NULL THEN 0.15 ELSE confidence END AS confidence,
-          CASE WHEN predicted_value IS NOT NULL THEN layer WHEN m.value IS NOT NULL AND (coalesce(len(allowed), 0) = 0 OR list_contains(allowed, m.value)) THEN 'fallback_mode' WHEN c.value IS NOT NULL THEN 'fallback_common' ELSE layer END AS layer
-        FROM labelled_work w LEFT JOIN slots USING (category, feature_name) LEFT JOIN feature_mode m USING (feature_name) LEFT JOIN commonest c USING (category, feature_name)""",
-    "validated": r"""SELECT uid, feature_name, feature_type, confidence, layer, predicted_value AS before, CASE WHEN predicted_value IS NULL OR coalesce(len(allowed), 0) = 0 OR list_contains(allowed, predicted_value) THEN predicted_value
-          WHEN feature_type = 'categorical' THEN coalesce(list_min(list_filter(allowed, lambda a: lower(a) = lower(predicted_value))), predicted_value)
-          WHEN list_contains(allowed, regexp_replace(trim(predicted_value), '\s+', ' ', 'g')) THEN regexp_replace(trim(predicted_value), '\s+', ' ', 'g')
-          ELSE predicted_value END AS predicted_value FROM filled""",
+    "filled": _FILLED.replace("@ROWS@", "labelled_work"),
+    "validated": _VALIDATED.replace("@ROWS@", "filled").replace("@CLOSE@", ""),
+    "validated_fuzzy": _VALIDATED.replace("@ROWS@", "filled").replace("@CLOSE@", closest_sql("predicted_value", 0.75) + ", "),
+    "filled_all": _FILLED.replace("@ROWS@", "waterfall_fuzzy"),
+    "validated_all": _VALIDATED.replace("@ROWS@", "filled_all").replace("@CLOSE@", closest_sql("predicted_value", 0.75) + ", "),
     "matched": """SELECT v.uid, v.feature_name, v.feature_type, v.layer, CASE WHEN v.predicted_value = l.feature_value THEN 1.0 ELSE 0.0 END AS correct
         FROM validated v JOIN labels l USING (uid, feature_name)""",
     "by_feature": "SELECT feature_name, round(avg(correct), 6) AS accuracy, count(*) AS n FROM matched GROUP BY feature_name",
@@ -124,7 +131,7 @@ COMPLETE = {
     "extra": {**LAYERS["extra"], **_C},
     "needs": {
         **LAYERS["needs"], "labelled_work": ["labels", "waterfall"], "commonest": ["slot_values"], "filled": ["labelled_work", "slots", "feature_mode", "commonest"],
-        "validated": ["filled"], "matched": ["validated", "labels"], "by_feature": ["matched"], "template_waterfall": ["template", "by_rules"],
+        "validated": ["filled"], "validated_fuzzy": ["filled"], "filled_all": ["waterfall_fuzzy", "slots", "feature_mode", "commonest"], "validated_all": ["filled_all"], "matched": ["validated", "labels"], "by_feature": ["matched"], "template_waterfall": ["template", "by_rules"],
         "given": ["template_waterfall", "labels"], "key_counts": ["template", "given"],
     },
 }
@@ -144,7 +151,10 @@ PAIRS = {
            FROM work LEFT JOIN feature_mode m USING (feature_name) LEFT JOIN commonest c USING (category, feature_name)""", "work", "feature_mode", "commonest")),
     "fallback_and_validate": (validate_native, sql(
         "SELECT uid, feature_name, predicted_value, CAST(confidence AS DOUBLE) AS confidence, layer, CAST(coalesce(predicted_value <> before, false) AS INTEGER) AS corrected FROM validated", "validated")),
-    "validate_fuzzy": (validate_fuzzy, None),
+    "validate_fuzzy": (validate_fuzzy, sql(
+        "SELECT uid, feature_name, predicted_value, CAST(coalesce(predicted_value <> before, false) AS INTEGER) AS corrected FROM validated_fuzzy", "validated_fuzzy")),
+    "full_rule_run": (full_rule_run, sql(
+        "SELECT uid, category, feature_name, feature_type, predicted_value, CAST(confidence AS DOUBLE) AS confidence, layer FROM validated_all", "validated_all")),
     "match_truth": (lambda s, d: matched(s, d).select("uid", "feature_name", "correct"), sql("SELECT uid, feature_name, CAST(correct AS DOUBLE) AS correct FROM matched", "matched")),
     "accuracy": (lambda s, d: rounded(S.accuracy(matched(s, d))), sql("SELECT round(avg(correct), 6) AS accuracy, count(*) AS n FROM matched", "matched")),
     "accuracy_by_type": (accuracy_by_type, sql("SELECT feature_type, round(avg(correct), 6) AS accuracy, count(*) AS n FROM matched GROUP BY 1", "matched")),

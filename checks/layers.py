@@ -68,7 +68,8 @@ def rule_waterfall(spark, sf):
 
 def rule_waterfall_fuzzy(spark, sf):
     known, products = slots(spark, sf), D.products(spark, sf)
-    rows = predict_by_rules(D.request_rows(products, known), known)
+    lookup = L.title_lookup(D.labels(spark, sf).filter("split = 'train'"), products)
+    rows = predict_by_rules(D.request_rows(products, known), known, lookup)
     return rows.select("uid", "feature_name", "predicted_value", "confidence", "layer")
 
 
@@ -197,6 +198,27 @@ CONTAINED_SQL = r"""CASE WHEN feature_type = 'categorical' THEN list_min(list_tr
 SUBSTRING_SQL = "list_filter(allowed, lambda a: contains(text_lower, lower(a)))[1]"
 SINGLE_SQL = "CASE WHEN len(allowed) = 1 THEN allowed[1] END"
 
+
+def closest_sql(word, cutoff):
+    """Most similar listed value by edits, at or over the cutoff."""
+    return f"""list_sort(list_filter(list_transform(list_filter(allowed, lambda a: least(length(a), length({word})) >= {cutoff} * greatest(length(a), length({word}))),
+      lambda a: {{'s': -(CASE WHEN greatest(length(a), length({word})) > 0 THEN 1 - levenshtein({word}, a) / greatest(length(a), length({word})) ELSE 1.0 END), 'v': a}}), lambda e: -e.s >= {cutoff}))[1].v"""
+
+
+def _described(close):
+    return rf"""SELECT uid, feature_name, arg_min(answer, pos) AS value FROM (
+        SELECT uid, feature_name, pos, CASE
+            WHEN list_contains(allowed, value) THEN value
+            WHEN feature_type = 'numeric' AND list_contains(allowed, again) THEN again
+            WHEN feature_type = 'numeric' AND list_contains(allowed, regexp_extract(again, '^([\d.]+\s+\S+)', 1)) THEN regexp_extract(again, '^([\d.]+\s+\S+)', 1)
+            WHEN feature_type = 'numeric' AND list_contains(allowed, regexp_extract(again, '^([\d.]+)\s*(\S+)', 1) || ' ' || regexp_extract(again, '^([\d.]+)\s*(\S+)', 2))
+              THEN regexp_extract(again, '^([\d.]+)\s*(\S+)', 1) || ' ' || regexp_extract(again, '^([\d.]+)\s*(\S+)', 2)
+            ELSE coalesce(list_min(list_filter(allowed, lambda a: lower(a) = lower(value))), {close}list_filter(allowed, lambda a: contains(lower(value), lower(a)))[1]) END AS answer
+        FROM (SELECT *, {german("trim(value)")} AS again FROM work JOIN clean_pairs USING (uid))
+        WHERE length(key) >= 3 AND len(list_filter(terms, lambda t: length(t) >= 3 AND (contains(key, t) OR contains(t, key)))) > 0)
+      WHERE answer IS NOT NULL GROUP BY uid, feature_name"""
+
+
 # Numbers with the slot's unit, ranked by listed and in title, listed, in title, any.
 _NUMBERS = {
     "numbers": rf"""SELECT uid, category, feature_name, allowed, unit,
@@ -214,17 +236,8 @@ _NUMBERS = {
           regexp_extract_all(description, '([^·•<>\n]{2,60}?)\s*:\s*([^·•<>\n]{1,100})', 2) AS v FROM products WHERE contains(description, ':'))""",
     "clean_pairs": rf"""SELECT uid, pos, lower(trim(ltrim(trim(key, ' ' || chr(10)), '- '), ' ' || chr(10))) AS key,
         {german("rtrim(trim(raw, ' ' || chr(10)), '.')")} AS value FROM pairs""",
-    "described": rf"""SELECT uid, feature_name, arg_min(answer, pos) AS value FROM (
-        SELECT uid, feature_name, pos, CASE
-            WHEN list_contains(allowed, value) THEN value
-            WHEN feature_type = 'numeric' AND list_contains(allowed, again) THEN again
-            WHEN feature_type = 'numeric' AND list_contains(allowed, regexp_extract(again, '^([\d.]+\s+\S+)', 1)) THEN regexp_extract(again, '^([\d.]+\s+\S+)', 1)
-            WHEN feature_type = 'numeric' AND list_contains(allowed, regexp_extract(again, '^([\d.]+)\s*(\S+)', 1) || ' ' || regexp_extract(again, '^([\d.]+)\s*(\S+)', 2))
-              THEN regexp_extract(again, '^([\d.]+)\s*(\S+)', 1) || ' ' || regexp_extract(again, '^([\d.]+)\s*(\S+)', 2)
-            ELSE coalesce(list_min(list_filter(allowed, lambda a: lower(a) = lower(value))), list_filter(allowed, lambda a: contains(lower(value), lower(a)))[1]) END AS answer
-        FROM (SELECT *, {german("trim(value)")} AS again FROM work JOIN clean_pairs USING (uid))
-        WHERE length(key) >= 3 AND len(list_filter(terms, lambda t: length(t) >= 3 AND (contains(key, t) OR contains(t, key)))) > 0)
-      WHERE answer IS NOT NULL GROUP BY uid, feature_name""",
+    "described": _described(""),
+    "described_fuzzy": _described(closest_sql("value", 0.85) + ", "),
     "by_rules": f"""SELECT uid, feature_name, feature_type, category, CASE WHEN len(allowed) = 0 OR list_contains(allowed, l.value) THEN l.value END AS c0, {DOMAIN_SQL} AS c1, d.value AS c2,
         {SPECIAL_SQL} AS c3, {DRIVE_SQL} AS c4, {DIMENSION_SQL} AS c5, {CONTAINED_SQL} AS c6, m.value AS c7, {SUBSTRING_SQL} AS c8, {SINGLE_SQL} AS c9
       FROM work LEFT JOIN described d USING (uid, feature_name) LEFT JOIN measured m USING (uid, feature_name) LEFT JOIN title_lookup l USING (feature_name, title)""",
@@ -241,6 +254,9 @@ _NEEDS = {
     "numbers": ["work"], "measured": ["numbers"], "pairs": ["products"], "clean_pairs": ["pairs"], "described": ["work", "clean_pairs"],
     "by_rules": ["work", "described", "measured", "title_lookup"], "waterfall": ["by_rules"], "no_lookup": ["by_rules"],
 }
+for _name in ("by_rules", "waterfall"):  # the same with similar values taken
+    _NUMBERS[_name + "_fuzzy"] = _NUMBERS[_name].replace("described d", "described_fuzzy d").replace("FROM by_rules", "FROM by_rules_fuzzy")
+_NEEDS |= {"described_fuzzy": _NEEDS["described"], "by_rules_fuzzy": ["work", "described_fuzzy", "measured", "title_lookup"], "waterfall_fuzzy": ["by_rules_fuzzy"]}
 LAYERS = {"extra": _NUMBERS, "needs": _NEEDS}
 
 
@@ -263,7 +279,7 @@ PAIRS = {
     **{f"rule_{name}": (layer(_COLUMNS[name], *features), layer_sql(sql, *features)) for name, (features, sql) in DOMAIN.items()},
     "domain_rules": (layer(R.domain_rule), layer_sql(DOMAIN_SQL)),
     "described_pairs": (described_native, with_relations("SELECT uid, feature_name, value FROM described", "described", **LAYERS)),
-    "described_pairs_fuzzy": (described, None),
+    "described_pairs_fuzzy": (described, with_relations("SELECT uid, feature_name, value FROM described_fuzzy", "described_fuzzy", **LAYERS)),
     "described_key_profile": (key_profile, with_relations("SELECT key, count(*) AS n FROM clean_pairs GROUP BY key", "clean_pairs", **LAYERS)),
     "special_formats": (layer(X.special_format), layer_sql(SPECIAL_SQL)),
     "special_drive_sizes": (layer(X.special_drive), layer_sql(DRIVE_SQL)),
@@ -275,11 +291,10 @@ PAIRS = {
     "longest_contained": (layer(X.longest_contained), layer_sql(SUBSTRING_SQL)),
     "single_values": (layer(X.only_value), layer_sql(SINGLE_SQL)),
     "rule_waterfall": (rule_waterfall, with_relations("SELECT uid, feature_name, predicted_value, confidence, layer FROM waterfall", "waterfall", **LAYERS)),
-    "rule_waterfall_fuzzy": (rule_waterfall_fuzzy, None),
+    "rule_waterfall_fuzzy": (rule_waterfall_fuzzy, with_relations("SELECT uid, feature_name, predicted_value, confidence, layer FROM waterfall_fuzzy", "waterfall_fuzzy", **LAYERS)),
     "unresolved_rows": (unresolved_rows, with_relations("SELECT uid, feature_name FROM waterfall WHERE predicted_value IS NULL", "waterfall", **LAYERS)),
     "classifier_candidates": (classifier_candidates, with_relations(
         "SELECT uid, feature_name FROM no_lookup WHERE predicted_value IS NULL OR (feature_type = 'categorical' AND sure < 0.9)", "no_lookup", **LAYERS)),
     "rule_coverage": (rule_coverage, with_relations(
         "SELECT round(avg(CASE WHEN predicted_value IS NULL THEN 0.0 ELSE 1.0 END), 6) AS coverage, count(*) AS n FROM waterfall", "waterfall", **LAYERS)),
-    "full_rule_run": (full_rule_run, None),
 }

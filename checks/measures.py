@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from checks.layers import closest_sql
 from checks.relations import german, with_relations
 from merkmal.functions import measures as M, text as X
 from merkmal.operators import complete as C
+from merkmal.operators.fuzzy import closest_by_edits as closest_edits
 from merkmal.operators.taxonomy import build_slots, with_slots
 from merkmal.sources import derived as D
 
@@ -50,12 +52,13 @@ def measured(unit):
 
 def unit_conversion(spark, sf):
     """Every weight and length of the catalog in every related unit."""
-    number = r"(?iU)(\d+\.?\d*)\s*(mm|kg)(?![\p{L}\p{N}_])"
+    number = F.lit(r"(?iU)(\d+\.?\d*)\s*(mm|cm|m|kg|g|ml|l)(?![\p{L}\p{N}_])")
     clean = X.german_decimals(F.col("text"))
-    found = texts(spark, sf).select(
-        "uid", F.regexp_extract(clean, number, 1).alias("n"), F.lower(F.regexp_extract(clean, number, 2)).alias("from_unit_seen")
-    ).filter("n <> ''").withColumn("n", F.col("n").cast("double"))
-    wanted = found.withColumn("target", F.explode(F.array(*[F.lit(u) for u in ("mm", "cm", "m", "g", "kg", "l")])))
+    every = F.arrays_zip(F.regexp_extract_all(clean, number, F.lit(1)).alias("n"), F.regexp_extract_all(clean, number, F.lit(2)).alias("u"))
+    found = texts(spark, sf).select("uid", F.explode(every).alias("m")).select(
+        "uid", F.col("m.n").cast("double").alias("n"), F.lower("m.u").alias("from_unit_seen")
+    )
+    wanted = found.withColumn("target", F.explode(F.array(*[F.lit(u) for u in ("mm", "cm", "m", "g", "kg", "l", "ml")])))
     return M.convert_units(wanted, "n", "from_unit_seen", "target").select(
         "uid", "from_unit_seen", "target", F.round("converted", 6).alias("converted")
     )
@@ -102,7 +105,7 @@ def snap_numeric(spark, sf):
 
 def closest_by_edits(spark, sf):
     rows = _written(_labels_with_slots(spark, sf)).select("uid", "feature_name", "written", "allowed")
-    found = C.closest_by_edits(rows, "written", 0.6)
+    found = closest_edits(rows, "written", 0.6)
     return found.select("uid", "feature_name", "closest", F.round("similarity", 6).alias("similarity"))
 
 
@@ -137,7 +140,8 @@ def measured_sql(unit, others):
 
 
 _DRIVE = r"(?i)\b(PZ|PH|TX|T)\s*(\d+)\b"
-_FACTORS = "(VALUES ('mm','cm',0.1),('mm','m',0.001),('kg','g',1000.0)) f(a, b, factor)"
+_FACTORS = "(VALUES " + ", ".join(f"('{a}', '{b}', CAST({f!r} AS DOUBLE))" for a, b, f, _ in M.unit_factor_rows()) + ") f(a, b, factor)"
+_MEASURE = r"(?i)(\d+\.?\d*)\s*(mm|cm|m|kg|g|ml|l)\b"
 
 PAIRS = {
     "rule_text": (rule_text, with_relations("SELECT uid, text FROM texts", "texts", **_TEXTS)),
@@ -147,9 +151,9 @@ PAIRS = {
     "german_decimals": (german_decimals, with_relations(f"SELECT uid, {german('text')} AS text FROM texts", "texts", **_TEXTS)),
     "unit_conversion": (unit_conversion, with_relations(
         rf"""SELECT uid, u AS from_unit_seen, target, round(CASE WHEN u = target THEN n ELSE n * factor END, 6) AS converted FROM (
-          SELECT uid, CAST(regexp_extract(t, '(?i)(\d+\.?\d*)\s*(mm|kg)\b', 1) AS DOUBLE) AS n, lower(regexp_extract(t, '(?i)(\d+\.?\d*)\s*(mm|kg)\b', 2)) AS u,
-            unnest(['mm', 'cm', 'm', 'g', 'kg', 'l']) AS target
-          FROM (SELECT uid, {german('text')} AS t FROM texts) WHERE regexp_extract(t, '(?i)(\d+\.?\d*)\s*(mm|kg)\b', 1) <> '')
+          SELECT uid, n, u, unnest(['mm', 'cm', 'm', 'g', 'kg', 'l', 'ml']) AS target FROM (
+            SELECT uid, CAST(unnest(regexp_extract_all(t, '{_MEASURE}', 1)) AS DOUBLE) AS n, lower(unnest(regexp_extract_all(t, '{_MEASURE}', 2))) AS u
+            FROM (SELECT uid, {german('text')} AS t FROM texts)))
           LEFT JOIN {_FACTORS} ON u = a AND target = b""", "texts", **_TEXTS)),
     "number_format": (number_format, r"""SELECT p_partkey AS uid, CASE WHEN x = floor(x) THEN CAST(CAST(x AS BIGINT) AS STRING)
         ELSE regexp_replace(regexp_replace(printf('%.4f', x), '0+$', ''), '\.$', '') END AS value FROM (SELECT p_partkey, p_retailprice / 8 AS x FROM part)"""),
@@ -163,7 +167,9 @@ PAIRS = {
     "snap_categorical": (snap_categorical_native, with_relations(
         """SELECT uid, feature_name, written, CASE WHEN list_contains(allowed, written) THEN written
              ELSE list_min(list_filter(allowed, lambda a: lower(a) = lower(written))) END AS snapped FROM written_labels WHERE feature_type = 'categorical'""", "written_labels", **_W)),
-    "snap_categorical_fuzzy": (snap_categorical_fuzzy, None),
+    "snap_categorical_fuzzy": (snap_categorical_fuzzy, with_relations(
+        f"""SELECT uid, feature_name, written, CASE WHEN list_contains(allowed, written) THEN written
+             ELSE coalesce(list_min(list_filter(allowed, lambda a: lower(a) = lower(written))), {closest_sql("written", 0.6)}) END AS snapped FROM written_labels WHERE feature_type = 'categorical'""", "written_labels", **_W)),
     "snap_numeric": (snap_numeric, with_relations(
         r"""SELECT uid, feature_name, written, CASE WHEN NOT list_contains(allowed, written) AND list_contains(allowed, flat) THEN flat ELSE written END AS snapped
            FROM (SELECT *, regexp_replace(trim(written), '\s+', ' ', 'g') AS flat FROM written_labels WHERE feature_type = 'numeric')""", "written_labels", **_W)),

@@ -108,7 +108,8 @@ PAIRS = {
     "text_lengths_documents": (lambda s, d: rounded(P.text_length_summary(documents(s, d)), "mean", "p99"), measured(_SUMMARY, "document_catalog")),
     "text_lengths_products": (lambda s, d: rounded(P.text_length_summary(D.products(s, d)), "mean", "p99"), measured(_SUMMARY, "products")),
     "text_length_histogram": (lambda s, d: P.text_length_histogram(documents(s, d)), measured(_HISTOGRAM, "document_catalog")),
-    "seeded_sample": (sample_ids, None),
+    "seeded_sample": (sample_ids, with_relations(
+        "SELECT uid FROM order_catalog ORDER BY md5(CAST(uid AS STRING) || '|42'), uid LIMIT 5000", "order_catalog")),
     "template_null_share": (lambda s, d: P.null_share(D.template(s, d)), with_relations(
         "SELECT count(*) FILTER (feature_value IS NULL) AS n_null, count(*) AS n FROM template", "template")),
     "example_products": (lambda s, d: P.example_products(train_products(s, d), train_labels(s, d)).select("uid", "feature_name", "feature_value", "category", "title"), with_relations(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from merkmal.operators.scale import broadcast_if_small, global_rank, rank_within
+from merkmal.operators.scale import global_rank, rank_within
 
 ESCALATION_RATE = 0.02
 BATCH_SIZE = 30
@@ -35,7 +35,7 @@ def product_batches(rows: DataFrame, size: int = BATCH_SIZE, max_batches: int |
     # after the batches of all categories before it.
     starts = _running_total(ordered, "category_no", "n_batches", "first_batch")
     return (
-        placed.join(broadcast_if_small(starts.select("category", "first_batch")), "category")
+        placed.join(starts.select("category", "first_batch"), "category")
         .withColumn("batch_id", F.col("first_batch") + F.col("batch_no") + 1)
         .withColumn("idx", (F.col("place") - 1) % size + 1)
         .withColumn("within_budget", F.lit(True) if max_batches is None else F.col("batch_id") <= max_batches)
@@ -95,7 +95,7 @@ def prompts(batches: DataFrame, slots: DataFrame) -> DataFrame:
         F.lit("\n\nReturn JSON array. Object keys = feature names. Example format:\n"
               '[{"feature1": "value1", "feature2": "value2"}, ...]'),
     )
-    return grouped.join(broadcast_if_small(features), "category").select("batch_id", "category", "n_products", text.alias("prompt"))
+    return grouped.join(features, "category").select("batch_id", "category", "n_products", text.alias("prompt"))
 
 
 def parse_reply(reply: Column) -> Column:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from merkmal.functions.patterns import strip
-from merkmal.operators.fuzzy import closest, reachable
-from merkmal.operators.scale import best_per_key, broadcast_if_small
+from merkmal.operators.fuzzy import closest_listed
+from merkmal.operators.scale import best_per_key
 from merkmal.operators.taxonomy import slot_values, value_frequency, with_slots
 
 VALIDATION_CUTOFF = 0.75
@@ -26,8 +26,8 @@ def apply_fallbacks(rows: DataFrame, slots: DataFrame, mode: DataFrame) -> DataF
     common = commonest_slot_value(slots).select("category", "feature_name", F.col("value").alias("_common"))
     modes = mode.select("feature_name", F.col("value").alias("_mode"))
     joined = with_slots(rows, slots, ["allowed"])
-    joined = joined.join(broadcast_if_small(modes), "feature_name", "left")
-    joined = joined.join(broadcast_if_small(common), ["category", "feature_name"], "left")
+    joined = joined.join(modes, "feature_name", "left")
+    joined = joined.join(common, ["category", "feature_name"], "left")
     fits = F.col("_mode").isNotNull() & ((F.size("allowed") == 0) | F.array_contains("allowed", F.col("_mode")))
     is_open = F.col("predicted_value").isNull()
     step = F.when(~is_open, F.lit("keep")).when(fits, F.lit("mode")).when(F.col("_common").isNotNull(), F.lit("common"))
@@ -58,18 +58,9 @@ def same_in_any_case(value: Column) -> Column:
 
 def add_snapped(rows: DataFrame, value: str, out: str, cutoff: float, fuzzy: bool = True) -> DataFrame:
     """Categorical snapping on rows that carry ``allowed``: exact, any case, closest."""
-    exact = rows.withColumn("_same", same_in_any_case(F.col(value)))
-    if not fuzzy:
-        return exact.withColumnRenamed("_same", out)
-    word = F.when(F.col("_same").isNull(), F.col(value))
-    options = exact.withColumn("_word", word).withColumn(
-        "_options", F.when(F.col("_word").isNotNull(), reachable(F.col("_word"), F.col("allowed"), cutoff))
-    )
-    has = F.col("_options").isNotNull()
-    compared = options.withColumn(
-        "_close", closest(cutoff)(F.when(has, F.array("_word")), F.when(has, F.array("_options")))
-    )
-    return compared.withColumn(out, F.coalesce("_same", F.get("_close", F.lit(0)))).drop("_same", "_word", "_options", "_close")
+    word = F.col(value)
+    close = [closest_listed(word, F.col("allowed"), cutoff)] if fuzzy else []
+    return rows.withColumn(out, F.coalesce(same_in_any_case(word), *close))
 
 
 def validate(rows: DataFrame, slots: DataFrame, fuzzy: bool = True) -> DataFrame:
@@ -91,20 +82,3 @@ def validate(rows: DataFrame, slots: DataFrame, fuzzy: bool = True) -> DataFrame
         .withColumn("predicted_value", F.col("_final"))
         .drop("_final", "_open", "_snapped", "allowed")
     )
-
-
-def edit_similarity(a: Column, b: Column) -> Column:
-    """Native variant of closeness: one minus edit distance over the longer length."""
-    longer = F.greatest(F.length(a), F.length(b))
-    return F.when(longer > 0, 1 - F.levenshtein(a, b) / longer).otherwise(F.lit(1.0))
-
-
-def closest_by_edits(rows: DataFrame, value: str, cutoff: float, out: str = "closest") -> DataFrame:
-    """Listed value with the fewest edits per length, at or over the cutoff."""
-    word = F.col(value)
-    scored = F.filter(
-        F.transform("allowed", lambda a: F.struct((-edit_similarity(word, a)).alias("s"), a.alias("v"))),
-        lambda e: -e["s"] >= cutoff,
-    )
-    best = F.array_min(scored)
-    return rows.withColumn(out, best["v"]).withColumn("similarity", -best["s"])

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from merkmal.functions.patterns import exact, first_group, once, strip
 from merkmal.functions.text import blank_if_null, german_decimals
-from merkmal.operators.fuzzy import closest, reachable
+from merkmal.operators.fuzzy import closest_listed
 from merkmal.operators.prepare import if_allowed
 
 # Fixed value: a key of 2 to 60 and a value of 1 to 100 characters between separators.
@@ -94,28 +94,13 @@ def add_described(rows: DataFrame, out: str, needed: Column | None = None, fuzzy
     if needed is not None:
         wanted = wanted & needed
     found = rows.withColumn("_answers", F.when(wanted, answers()))
-    if not fuzzy:
-        value = F.filter(F.transform("_answers", lambda a: F.coalesce(a["sure"], a["late"])), lambda v: v.isNotNull())
-        return found.withColumn(out, F.get(value, F.lit(0))).drop("_answers")
-
-    # Words to compare: those in front of the first pair that is already sure.
-    words = F.transform(
-        "_answers",
-        lambda a, i: F.when(
-            ~F.exists(F.slice("_answers", 1, i + 1), lambda b: b["sure"].isNotNull()), a["value"]
-        ),
-    )
-    asked = found.withColumn("_words", words).withColumn(
-        "_options", F.transform("_words", lambda w: F.when(w.isNotNull(), reachable(w, F.col("allowed"), FUZZY_CUTOFF)))
-    )
-    has_options = F.exists("_options", lambda o: o.isNotNull())
-    compared = asked.withColumn("_close", closest(FUZZY_CUTOFF)(F.when(has_options, F.col("_words")), F.when(has_options, F.col("_options"))))
-    close = F.coalesce("_close", F.array().cast("array<string>"))
-    value = F.filter(
-        F.zip_with("_answers", close, lambda a, c: F.coalesce(a["sure"], c, a["late"])),
-        lambda v: v.isNotNull(),
-    )
-    return compared.withColumn(out, F.get(value, F.lit(0))).drop("_answers", "_words", "_options", "_close")
+
+    def answer(a: Column) -> Column:
+        close = [closest_listed(a["value"], F.col("allowed"), FUZZY_CUTOFF)] if fuzzy else []
+        return F.coalesce(a["sure"], *close, a["late"])
+
+    value = F.filter(F.transform("_answers", answer), lambda v: v.isNotNull())
+    return found.withColumn(out, F.get(value, F.lit(0))).drop("_answers")
 
 
 def key_profile(products: DataFrame) -> DataFrame:

@@ -1,57 +1,38 @@
-"""Closest listed value by sequence-match ratio.
-
-Spark has no such ratio, so the comparison itself runs in Arrow batches. The
-candidates are first thinned natively by the length bound of the ratio, rows
-without candidates carry null, and equal questions in a batch are asked once.
-"""
+"""Closest listed value by edit similarity, as a column: nothing is shuffled and no Python runs."""
 
 from __future__ import annotations
 
-import difflib
+from pyspark.sql import Column, DataFrame, functions as F
+
+
+def edit_similarity(a: Column, b: Column) -> Column:
+    """One minus edit distance over the longer length; two empty words are equal."""
+    longer = F.greatest(F.length(a), F.length(b))
+    return F.when(longer > 0, 1 - F.levenshtein(a, b) / longer).otherwise(F.lit(1.0))
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import Column, functions as F
-from pyspark.sql.functions import arrow_udf
 
+def closest_entry(word: Column, candidates: Column, cutoff: float) -> Column:
+    """``(s, v)`` of the candidate with the highest similarity ``-s`` at or over the cutoff.
 
-def reachable(word: Column, candidates: Column, cutoff: float) -> Column:
-    """Candidates whose length alone still allows the ratio; null when none is left."""
+    Ties go to the value first in binary order; null when the word is null or nothing is
+    close enough. Lengths alone bound the similarity, so few candidates are compared.
+    """
     length = F.length(word)
-    kept = F.filter(
-        candidates,
-        lambda c: 2 * F.least(F.length(c), length) >= F.lit(cutoff) * (F.length(c) + length),
+    reachable = F.filter(
+        candidates, lambda c: F.least(F.length(c), length) >= F.lit(cutoff) * F.greatest(F.length(c), length)
+    )
+    scored = F.filter(
+        F.transform(reachable, lambda c: F.struct((-edit_similarity(word, c)).alias("s"), c.alias("v"))),
+        lambda e: -e["s"] >= cutoff,
     )
-    return F.when(F.size(kept) > 0, kept)
+    return F.array_min(scored)
 
 
-def closest(cutoff: float):
-    """Arrow function (words, candidates per word) -> best candidate per word.
+def closest_listed(word: Column, candidates: Column, cutoff: float) -> Column:
+    return closest_entry(word, candidates, cutoff)["v"]
 
-    Ties go to the value last in binary order. It is declared nondeterministic
-    so that the optimizer does not copy the call into a filter above it.
-    """
 
-    @arrow_udf("array<string>")
-    def pick(words: pa.Array, candidates: pa.Array) -> pa.Array:
-        known: dict = {}
-
-        def one(word, options):
-            if options is None:
-                return None
-            key = (word, tuple(options))
-            if key not in known:
-                best = difflib.get_close_matches(word, key[1], n=1, cutoff=cutoff)
-                known[key] = best[0] if best else None
-            return known[key]
-
-        picked = [None] * len(words)
-        for i in np.flatnonzero(pc.list_value_length(words).to_numpy(zero_copy_only=False)):
-            picked[i] = [one(w, o) for w, o in zip(words[i].as_py(), candidates[i].as_py())]
-        return pa.array(picked, pa.list_(pa.string()))
-
-    call = pick.asNondeterministic()
-    # Rows that ask nothing send empty arrays: long runs of null arrays are slow to write to Arrow.
-    none = F.array().cast("array<string>")
-    return lambda words, options: call(F.coalesce(words, none), F.coalesce(options, F.array(none)))
+def closest_by_edits(rows: DataFrame, value: str, cutoff: float, out: str = "closest") -> DataFrame:
+    """Adds the closest of ``allowed`` to column ``value``, and its similarity."""
+    best = closest_entry(F.col(value), F.col("allowed"), cutoff)
+    return rows.withColumn(out, best["v"]).withColumn("similarity", -best["s"])

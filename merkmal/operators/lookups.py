@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from merkmal.operators.scale import best_per_key, broadcast_if_small
+from merkmal.operators.scale import best_per_key
 
 
 def labelled_products(labels: DataFrame, products: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -37,6 +37,6 @@ def add_title_lookup(rows: DataFrame, lookup: DataFrame, out: str = "looked_up")
     splits titles that hold many rows (the lookup has one row per key).
     """
     side = lookup.select("feature_name", "title", F.col("value").alias("_candidate"))
-    joined = rows.join(broadcast_if_small(side), ["feature_name", "title"], "left")
+    joined = rows.join(side, ["feature_name", "title"], "left")
     fits = (F.size("allowed") == 0) | F.array_contains("allowed", F.col("_candidate"))
     return joined.withColumn(out, F.when(fits, F.col("_candidate"))).drop("_candidate")

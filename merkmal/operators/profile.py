@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from merkmal.functions.text import blank_if_null
-from merkmal.operators.scale import top_per_group
+from merkmal.operators.scale import global_rank, top_per_group
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
@@ -24,10 +24,14 @@ def table_overview(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def column_types(tables: dict[str, DataFrame]) -> DataFrame:
-    """Column names and types, from the schemas."""
-    spark = next(iter(tables.values())).sparkSession
-    rows = [(name, f.name, f.dataType.simpleString()) for name, df in tables.items() for f in df.schema]
-    return spark.createDataFrame(rows, "table_name string, column_name string, data_type string")
+    """Per table and column its type and how many rows have a value."""
+    def counted(name: str, df: DataFrame) -> DataFrame:
+        row = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns])
+        found = row.unpivot([], df.columns, "column_name", "n_values")
+        kinds = F.create_map(*[F.lit(x) for f in df.schema for x in (f.name, f.dataType.simpleString())])
+        return found.select(F.lit(name).alias("table_name"), "column_name", kinds[F.col("column_name")].alias("data_type"), "n_values")
+
+    return union_all([counted(name, df) for name, df in tables.items()])
 
 
 def counts_by(df: DataFrame, *keys: str) -> DataFrame:
@@ -146,8 +150,9 @@ def text_length_histogram(products: DataFrame, title_ceiling: int = 300, descrip
 
 def seeded_sample(df: DataFrame, n: int = 50_000, seed: int = 42, key: str = "uid") -> DataFrame:
     """``n`` rows chosen by a seeded hash of their key: the same rows however the
-    data is partitioned."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    data is partitioned. Ranks come from range partitions, so no task merges all candidates."""
+    hashed = df.withColumn("_hash", F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed)))))
+    return global_rank(hashed, ["_hash", key], "_rank").filter(F.col("_rank") <= n).drop("_hash", "_rank")
 
 
 def null_share(template: DataFrame) -> DataFrame:

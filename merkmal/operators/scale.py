@@ -6,24 +6,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from merkmal.session import cut_lineage
 
-BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-def table_bytes(df: DataFrame) -> int:
-    """Size of the rows as text, from one distributed aggregate."""
-    row = df.agg(F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("n")).first()
-    return row["n"]
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast only when the measured size is under ``limit``.
-
-    Beyond it the table comes back without a hint, so the join shuffles and
-    adaptive execution splits hot keys.
-    """
-    return F.broadcast(df) if table_bytes(df) <= limit else df
-
-
 def best_per_key(df: DataFrame, keys: list[str], order: list[Column], columns: list[str]) -> DataFrame:
     """Row with the lowest ``order`` per key.
 
@@ -83,7 +65,7 @@ def rank_within(df: DataFrame, keys: list[str], order: list[str], rank: str = "p
     ranked = global_rank(df, [*keys, *order], "_global")
     starts = ranked.groupBy(*keys).agg(F.min("_global").alias("_start"))
     return (
-        ranked.join(broadcast_if_small(starts), keys)
+        ranked.join(starts, keys)
         .withColumn(rank, F.col("_global") - F.col("_start") + 1)
         .drop("_global", "_start")
     )
@@ -101,6 +83,6 @@ def group_tasks(df: DataFrame, keys: list[str]) -> DataFrame:
 def sharded(df: DataFrame, keys: list[str], row_key: list[str], rows_per_shard: int) -> DataFrame:
     """Add ``shard``: each key's rows are hashed into pieces of bounded expected size."""
     sizes = df.groupBy(*keys).agg(F.ceil(F.count("*") / F.lit(rows_per_shard)).alias("n_shards"))
-    return df.join(broadcast_if_small(sizes), keys).withColumn(
+    return df.join(sizes, keys).withColumn(
         "shard", F.pmod(F.xxhash64(*row_key), F.col("n_shards")).cast("int")
     )

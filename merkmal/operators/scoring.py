@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from merkmal.operators.complete import apply_fallbacks, validate
 
 
 def is_correct(prediction: Column | str = "predicted_value", truth: Column | str = "feature_value") -> Column:
@@ -44,23 +45,27 @@ def best_features(by_feature: DataFrame, n: int = 10) -> DataFrame:
 def evaluate(predictions: DataFrame, truth: DataFrame, worst: int = 15, best: int = 10) -> DataFrame:
     """Overall, by type, by feature, worst and best as (metric, key, accuracy, n).
 
-    The joined rows are reduced once to one line per (type, feature); every
-    metric is an aggregate of these few lines. Type rows multiply as they do in
-    a join, so the overall and feature figures use their own line set.
+    Predictions meet the truth once and are reduced once to one line per (type,
+    feature). Each line feeds three sums; worst and best are ranks of the feature sums.
     """
-    matched = match_truth(predictions, truth)
-    by_feature = accuracy_by_feature(matched)
-    sums = by_feature.select("feature_name", (F.col("accuracy") * F.col("n")).alias("hits"), "n")
-    overall = sums.agg((F.sum("hits") / F.sum("n")).alias("accuracy"), F.sum("n").alias("n"))
-    line = lambda df, metric, key: df.select(F.lit(metric).alias("metric"), key.alias("key"), "accuracy", "n")
-    name = F.col("feature_name")
-    return (
-        line(overall, "overall", F.lit("all"))
-        .unionByName(line(accuracy_by_type(matched, predictions), "type", F.col("feature_type")))
-        .unionByName(line(by_feature, "feature", name))
-        .unionByName(line(worst_features(by_feature, worst), "worst", name))
-        .unionByName(line(best_features(by_feature, best), "best", name))
+    left = predictions.select("uid", "feature_name", "feature_type", "predicted_value")
+    matched = left.join(truth.select("uid", "feature_name", "feature_value"), ["uid", "feature_name"])
+    lines = matched.groupBy("feature_type", "feature_name").agg(F.sum(is_correct()).alias("hits"), F.count("*").alias("n"))
+    entry = lambda metric, key: F.struct(F.lit(metric).alias("metric"), key.alias("key"))
+    goals = F.array(entry("overall", F.lit("all")), entry("type", F.col("feature_type")), entry("feature", F.col("feature_name")))
+    sums = lines.select(F.explode(goals).alias("goal"), "hits", "n").groupBy("goal.metric", "goal.key").agg(
+        (F.sum("hits") / F.sum("n")).alias("accuracy"), F.sum("n").alias("n")
     )
+    # One line per feature is ranked, not the rows behind it.
+    place = lambda *order: F.row_number().over(Window.partitionBy("metric").orderBy(*order))
+    ranked = sums.withColumn("_worst", place("accuracy", "key")).withColumn("_best", place(F.desc("accuracy"), F.desc("key")))
+    is_feature = F.col("metric") == "feature"
+    metrics = F.array_compact(F.array(
+        F.col("metric"),
+        F.when(is_feature & (F.col("_worst") <= worst), F.lit("worst")),
+        F.when(is_feature & (F.col("_best") <= best), F.lit("best")),
+    ))
+    return ranked.select(F.explode(metrics).alias("metric"), "key", "accuracy", "n")
 
 
 def coverage(predictions: DataFrame) -> DataFrame:
@@ -77,16 +82,19 @@ def layer_contribution(predictions: DataFrame, truth: DataFrame) -> DataFrame:
     return matched.groupBy("layer").agg(F.count("*").alias("n"), F.avg(is_correct()).alias("accuracy"))
 
 
-def run_counts(before: DataFrame, filled: DataFrame, validated: DataFrame) -> DataFrame:
-    """Open rows before and after the fallback, corrected rows, empty outputs."""
-    n = lambda df, condition, name: df.agg(F.count_if(condition).alias("n")).select(F.lit(name).alias("metric"), "n")
-    is_open = F.col("predicted_value").isNull()
-    return (
-        n(before, is_open, "open_before_fallback")
-        .unionByName(n(filled, is_open, "open_after_fallback"))
-        .unionByName(n(validated, F.col("corrected"), "corrected"))
-        .unionByName(n(validated, F.coalesce("predicted_value", F.lit("")) == "", "empty_output"))
-    )
+def run_counts(predicted: DataFrame, slots: DataFrame, mode: DataFrame, fuzzy: bool = True) -> DataFrame:
+    """Open rows before and after the fallback, corrected rows, empty outputs, in one pass over the predictions."""
+    marked = predicted.withColumn("_before", F.col("predicted_value").isNull())
+    after = apply_fallbacks(marked, slots, mode).withColumn("_after", F.col("predicted_value").isNull())
+    done = validate(after, slots, fuzzy)
+    counts = {
+        "open_before_fallback": F.col("_before"),
+        "open_after_fallback": F.col("_after"),
+        "corrected": F.col("corrected"),
+        "empty_output": F.coalesce("predicted_value", F.lit("")) == "",
+    }
+    row = done.agg(*[F.count_if(c).alias(name) for name, c in counts.items()])
+    return row.unpivot([], list(counts), "metric", "n")
 
 
 def submission_check(template: DataFrame, submission: DataFrame) -> DataFrame:
@@ -113,5 +121,3 @@ def submission_check(template: DataFrame, submission: DataFrame) -> DataFrame:
         F.lit("missing_keys"), "missing_keys", F.lit("unknown_keys"), "unknown_keys", F.lit("repeated_keys"), "repeated_keys",
     )).alias("problem", "n"))
     return columns.unionByName(rows)
-
-

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from merkmal.functions.patterns import WORD, number_with_unit, strip
-from merkmal.operators.scale import broadcast_if_small
 
 # Other names under which a feature appears in descriptions.
 FEATURE_ALIASES = {
@@ -125,7 +124,7 @@ def with_slots(rows: DataFrame, slots: DataFrame, columns: list[str] | None = No
     """Left join of work rows to their slot; a missing slot gives an empty ``allowed``."""
     keys = ["category", "feature_name"]
     side = slots.select(*keys, *columns) if columns else slots
-    joined = rows.join(broadcast_if_small(side), keys, "left")
+    joined = rows.join(side, keys, "left")
     if "allowed" in side.columns:
         joined = joined.withColumn("allowed", F.coalesce("allowed", F.array().cast("array<string>")))
     return joined
@@ -165,7 +164,7 @@ def distinct_values(slots: DataFrame) -> DataFrame:
 def rows_outside_taxonomy(rows: DataFrame, slots: DataFrame) -> DataFrame:
     """Rows naming a feature the product's category does not have."""
     keys = ["category", "feature_name"]
-    return rows.join(broadcast_if_small(slots.select(*keys)), keys, "left_anti")
+    return rows.join(slots.select(*keys), keys, "left_anti")
 
 
 def format_violations(rows: DataFrame, slots: DataFrame, value: str = "feature_value") -> DataFrame:

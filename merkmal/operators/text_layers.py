@@ -8,7 +8,7 @@ from merkmal.functions.measures import drive_size, scale, thread_size
 from merkmal.functions.patterns import all_groups, any_case, exact, first_group, once
 from merkmal.functions.text import blank_if_null, german_decimals, rule_text, substrings
 from merkmal.operators.prepare import if_allowed
-from merkmal.operators.scale import table_bytes, BROADCAST_BYTES
+from merkmal.session import cut_lineage
 
 THREAD_FEATURES = ["Gewinde-Ø", "Gewindegröße"]
 SCALE_FEATURES = ["Maßstab"]
@@ -147,24 +147,19 @@ def anchored(values: DataFrame) -> DataFrame:
     )
 
 
-def dictionary_hits(products: DataFrame, values: DataFrame, key: str = "uid", limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Every dictionary value found in a product's text, whatever the slot.
+def dictionary_hits(products: DataFrame, values: DataFrame, key: str = "uid") -> DataFrame:
+    """Every dictionary value found in a product's text, whatever the slot: one row per input row and value.
 
     Each text is cut into its distinct short pieces, which meet the values on
     their anchor in an equi-join; a hit is then verified on the whole text. A
-    text has the anchor of every value it holds, so nothing is missed. A measured
-    small dictionary is broadcast and nothing is shuffled; otherwise only
-    (key, piece) is shuffled and the text is fetched by key for the check.
+    text has the anchor of every value it holds, so nothing is missed. Rows get a
+    number of their own in a checkpointed table, so repeated and null keys count
+    as different rows; only (row, piece) meets the values, and the text joins by row.
     """
-    texts = products.select(key, F.lower(rule_text()).alias("text_lower"))
+    texts = cut_lineage(products.select(F.monotonically_increasing_id().alias("_row"), F.col(key).alias(key), F.lower(rule_text()).alias("text_lower")))
     words = anchored(values)
-    lengths = [r["n"] for r in words.select(F.length("anchor").alias("n")).distinct().collect()]  # at most 3 rows
-    if not lengths:
-        return texts.select(key, F.lit(None).cast("string").alias("value")).filter("false")
-    pieces = F.array_distinct(F.concat(*[substrings(F.col("text_lower"), n) for n in sorted(lengths)]))
+    # A value of one or two characters is its own anchor, all others have three.
+    pieces = F.array_distinct(F.concat(*[substrings(F.col("text_lower"), n) for n in (1, 2, 3)]))
+    met = texts.select("_row", F.explode(pieces).alias("anchor")).join(words, "anchor").select("_row", "value", "lower")
     holds = F.col("text_lower").contains(F.col("lower"))
-    if table_bytes(words) <= limit:
-        cut = texts.select(key, "text_lower", F.explode(pieces).alias("anchor"))
-        return cut.join(F.broadcast(words), "anchor").filter(holds).select(key, "value")
-    cut = texts.select(key, F.explode(pieces).alias("anchor"))
-    return cut.join(words, "anchor").join(texts, key).filter(holds).select(key, "value")
+    return met.join(texts, "_row").filter(holds).select(key, "value")

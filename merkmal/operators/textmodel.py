@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from merkmal.functions.text import char_terms, piped_text, plain_text, word_terms
-from merkmal.operators.scale import broadcast_if_small, group_tasks, sharded, top_per_group
+from merkmal.operators.scale import group_tasks, sharded, top_per_group
 from merkmal.session import cut_lineage
 
 MIN_ROWS, MIN_CLASSES, MAX_CLASSES, MAX_TERMS = 30, 2, 1000, 5000
@@ -64,14 +64,14 @@ def vocabulary(documents: DataFrame, kind: str, max_terms: int = MAX_TERMS) -> D
         term_counts(documents, kind), ["feature_name"], [F.desc("n_total"), F.asc("term")], ["term"], max_terms
     )
     idf = F.log((1 + F.col("n_rows")) / (1 + F.col("n_docs"))) + 1
-    return kept.join(broadcast_if_small(sizes), "feature_name").select("feature_name", "term", "n_docs", "n_total", idf.alias("idf"))
+    return kept.join(sizes, "feature_name").select("feature_name", "term", "n_docs", "n_total", idf.alias("idf"))
 
 
 def tfidf(documents: DataFrame, vocab: DataFrame, kind: str, key: str = "uid") -> DataFrame:
     """Sublinear, L2-normalised weights per (key, feature_name, term)."""
     terms = documents.select(key, "feature_name", F.explode(TERMS[kind](F.col("text"))).alias("term"))
     counted = terms.groupBy(key, "feature_name", "term").agg(F.count("*").alias("tf"))
-    side = broadcast_if_small(vocab.select("feature_name", "term", "idf"))
+    side = vocab.select("feature_name", "term", "idf")
     raw = counted.join(side, ["feature_name", "term"]).withColumn("raw", (1 + F.log("tf")) * F.col("idf"))
     norms = raw.groupBy(key, "feature_name").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
     return raw.join(norms, [key, "feature_name"]).select(key, "feature_name", "term", (F.col("raw") / F.col("norm")).alias("tfidf"))
@@ -170,7 +170,7 @@ def _copies(model: DataFrame, sharded: DataFrame) -> DataFrame:
     """
     counts = sharded.groupBy("feature_name").agg(F.max("n_shards").alias("n_shards"))
     spread = F.explode(F.sequence(F.lit(0), (F.col("n_shards") - 1).cast("int"))).alias("shard")
-    return model.join(broadcast_if_small(counts), "feature_name").select(
+    return model.join(counts, "feature_name").select(
         *[F.col(c).alias(c) for c in model.columns], spread
     )
 
@@ -185,7 +185,7 @@ def fit(labelled: DataFrame, kind: str = "word", text: str = "plain", descriptio
     average. A feature of one shard gets plain descent.
     """
     gate = training_gate(labelled, min_rows, max_classes)
-    documents = labelled.join(broadcast_if_small(gate.select("feature_name", "n_rows")), "feature_name").select(
+    documents = labelled.join(gate.select("feature_name", "n_rows"), "feature_name").select(
         "uid", "feature_name", "feature_value", "n_rows", TEXTS[text](description_chars).alias("text")
     )
     documents = cut_lineage(documents)
@@ -202,7 +202,7 @@ def fit(labelled: DataFrame, kind: str = "word", text: str = "plain", descriptio
         F.transform("c", lambda c: c["value"]).alias("classes"),
         F.transform("c", lambda c: c["n"].cast("double")).alias("sizes"),
     )
-    blank = vocab.select("feature_name", "term", "idf").join(broadcast_if_small(head.select("feature_name", "weights")), "feature_name")
+    blank = vocab.select("feature_name", "term", "idf").join(head.select("feature_name", "weights"), "feature_name")
     start = head.unionByName(
         blank.withColumn("classes", F.lit(None).cast("array<string>")).withColumn("sizes", F.lit(None).cast("array<double>"))
     )
@@ -270,7 +270,7 @@ def score(rows: DataFrame, model: DataFrame, text: dict[str, str] | None = None,
     """
     kinds = text or {"word": "plain", "char": "plain"}
     used = model.select("feature_name").distinct()
-    ready = rows.join(broadcast_if_small(used), "feature_name", "left_semi").select(
+    ready = rows.join(used, "feature_name", "left_semi").select(
         "uid", "feature_name", "category", "allowed",
         *[TEXTS[t](description_chars).alias(f"text_{k}") for k, t in kinds.items()],
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from merkmal.functions.patterns import once
 from merkmal.functions.text import blank_if_null, substrings
-from merkmal.operators.scale import best_per_key, broadcast_if_small, group_tasks
+from merkmal.operators.scale import best_per_key, group_tasks
 
 SEMANTIC_THRESHOLD = 0.72
 BLOCK = 2048
@@ -24,12 +24,12 @@ def normalised(vector: Column) -> Column:
 
 def _blocks(df: DataFrame, slot: list[str], row_key: str, name: str, size: int) -> DataFrame:
     counts = df.groupBy(*slot).agg(F.ceil(F.count("*") / F.lit(size)).cast("int").alias(f"n_{name}"))
-    return df.join(broadcast_if_small(counts), slot).withColumn(name, F.pmod(F.xxhash64(row_key), F.col(f"n_{name}")).cast("int"))
+    return df.join(counts, slot).withColumn(name, F.pmod(F.xxhash64(row_key), F.col(f"n_{name}")).cast("int"))
 
 
 def _copied(df: DataFrame, counts: DataFrame, slot: list[str], name: str) -> DataFrame:
     spread = F.explode(F.sequence(F.lit(0), F.col(f"n_{name}") - 1)).alias(name)
-    return df.join(broadcast_if_small(counts), slot).select(
+    return df.join(counts, slot).select(
         *[F.col(c).alias(c) for c in df.columns], spread
     )
 

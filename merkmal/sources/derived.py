@@ -183,10 +183,8 @@ def template(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def request_rows(product_rows: DataFrame, slots: DataFrame) -> DataFrame:
     """Every product asks for every feature of its category."""
-    from merkmal.operators.scale import broadcast_if_small
-
     wanted = slots.select("category", "feature_name", F.col("slot_type").alias("feature_type"))
-    return product_rows.join(broadcast_if_small(wanted), "category")
+    return product_rows.join(wanted, "category")
 
 
 def order_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
