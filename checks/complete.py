@@ -6,9 +6,12 @@ from pyspark.sql import functions as F
 
 from checks.layers import LAYERS, closest_sql, full_rule_run, slots
 from checks.relations import with_relations
+from checks.taxonomy import stored_catalog
 from merkmal.operators import complete as C, lookups as L, scoring as S
 from merkmal.operators.waterfall import predict_by_rules
+from merkmal.plans import job
 from merkmal.plans.predict import learn, predict
+from merkmal.session import scratch_path
 from merkmal.sources import catalog, derived as D
 
 
@@ -91,6 +94,17 @@ def submission_check(spark, sf):
     return S.submission_check(template, given.unionByName(extra))
 
 
+def stored_run(split):
+    """The whole job on stored splits: what it wrote, read again."""
+
+    def query(spark, sf):
+        out = scratch_path(spark, "predictions")
+        job.run(spark, stored_catalog(spark, sf), split, out)
+        return spark.read.parquet(out).select("uid", "feature_name", "feature_value", "feature_type")
+
+    return query
+
+
 def full_validation_run(spark, sf):
     """Everything: fit both text models on train, run all layers on validation rows, score."""
     products, labels = D.products(spark, sf), D.labels(spark, sf)
@@ -182,5 +196,11 @@ PAIRS = {
     "submission_check": (submission_check, sql(
         """SELECT 'missing_columns' AS problem, CAST(0 AS BIGINT) AS n UNION ALL SELECT 'missing_keys', count(*) FROM key_counts WHERE w > 0 AND g = 0
            UNION ALL SELECT 'unknown_keys', count(*) FROM key_counts WHERE w = 0 AND g > 0 UNION ALL SELECT 'repeated_keys', count(*) FROM key_counts WHERE w > 0 AND g > w""", "key_counts")),
+    "stored_run_val": (stored_run("val"), sql(
+        """SELECT uid, feature_name, coalesce(predicted_value, '') AS feature_value, v.feature_type
+           FROM validated_fuzzy v JOIN labels USING (uid, feature_name) WHERE split = 'val'""", "validated_fuzzy", "labels")),
+    "stored_run_test": (stored_run("test"), sql(
+        """SELECT uid, feature_name, coalesce(predicted_value, '') AS feature_value, t.feature_type
+           FROM template t LEFT JOIN validated_all USING (uid, feature_name)""", "validated_all", "template")),
     "full_validation_run": (full_validation_run, None),
 }

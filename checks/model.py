@@ -11,8 +11,9 @@ from merkmal.functions.text import plain_text
 from merkmal.operators import textmodel as T
 from merkmal.operators.lookups import labelled_products
 from merkmal.operators.taxonomy import with_slots
-from merkmal.operators.waterfall import needs_classifier, predict_by_rules
-from merkmal.session import scratch_path
+from merkmal.operators.waterfall import predict_by_rules
+from merkmal.plans.predict import classifier_layer
+from merkmal.session import cut_lineage, scratch_path
 from merkmal.sources import catalog, derived as D
 
 
@@ -65,12 +66,12 @@ def count_model(docs, kind):
         "feature_name", F.lit(None).cast("string").alias("term"), F.lit(None).cast("double").alias("idf"),
         F.transform("classes", lambda c: F.lit(0.0)).alias("weights"), "classes",
     )
-    return terms.unionByName(heads).withColumn("model", F.lit(kind))
+    return terms.unionByName(heads).withColumns({"model": F.lit(kind), "form": F.lit("plain")})
 
 
 def both_models(spark, sf):
     docs = documents(spark, sf)
-    return count_model(docs, "word").unionByName(count_model(docs, "char"))
+    return cut_lineage(count_model(docs, "word").unionByName(count_model(docs, "char")))
 
 
 def asked(spark, sf):
@@ -101,10 +102,7 @@ def ensemble_override(spark, sf):
     known, products = slots(spark, sf), D.products(spark, sf)
     rows = catalog.work_rows(D.labels(spark, sf).select("uid", "feature_name", "feature_type"), products)
     predicted = predict_by_rules(rows, known, fuzzy=False)
-    residue = with_slots(predicted.filter(needs_classifier()), known, ["allowed"])
-    choice = T.ensemble_choice(T.score(residue, both_models(spark, sf)))
-    joined = predicted.join(choice.select("uid", "feature_name", "agree", "choice", "choice_confidence"), ["uid", "feature_name"], "left")
-    return T.apply_choice(joined).select("uid", "feature_name", "predicted_value", F.round("confidence", 6).alias("confidence"))
+    return classifier_layer(predicted, known, both_models(spark, sf)).select("uid", "feature_name", "predicted_value", F.round("confidence", 6).alias("confidence"))
 
 
 def model_round_trip(spark, sf):
@@ -122,8 +120,7 @@ def fitted_models(spark, sf):
     rows = training(spark, sf)
     model = T.fit(rows, "word").unionByName(T.fit(rows, "char"))
     return model.groupBy("model", "feature_name").agg(
-        F.count("term").alias("n_terms"), F.max(F.size("weights")).alias("n_classes"),
-        F.count_if(F.exists("weights", lambda w: w != 0)).alias("n_used_terms"),
+        F.count("term").alias("n_terms"), F.max(F.size("weights")).cast("bigint").alias("n_classes"),
     )
 
 
@@ -200,5 +197,7 @@ PAIRS = {
         f"""SELECT uid, feature_name, CASE WHEN {_TAKE} THEN choice ELSE predicted_value END AS predicted_value,
             round(CAST(CASE WHEN {_TAKE} THEN choice_confidence * 0.7 ELSE confidence END AS DOUBLE), 6) AS confidence FROM plain_rules LEFT JOIN choices USING (uid, feature_name)""", "plain_rules", "choices")),
     "model_round_trip": (model_round_trip, sql("SELECT feature_name, term, value, round(w, 6) AS w FROM word_weights", "word_weights")),
-    "fitted_models": (fitted_models, None),
+    "fitted_models": (fitted_models, sql(" UNION ALL ".join(
+        f"SELECT '{k}' AS model, feature_name, count(*) AS n_terms, max(n_classes) AS n_classes FROM {k}_vocab JOIN gate USING (feature_name) GROUP BY feature_name"
+        for k in ("word", "char")), "word_vocab", "char_vocab", "gate")),
 }

@@ -61,7 +61,7 @@ def value_format_violations(spark, sf):
     return T.format_violations(_own_rows(spark, sf), slots(spark, sf)).select("uid", "feature_name", "feature_value", "problem")
 
 
-def _stored(spark, sf):
+def stored_catalog(spark, sf):
     root = scratch_path(spark, "catalog")
     products, labels = D.with_split(D.products(spark, sf)), D.labels(spark, sf)
     for split in catalog.SPLITS:
@@ -75,7 +75,7 @@ def _stored(spark, sf):
 
 
 def stored_splits(spark, sf):
-    root = _stored(spark, sf)
+    root = stored_catalog(spark, sf)
     frames = []
     for split in catalog.SPLITS:
         products, labels = catalog.read_split(spark, root, split)
@@ -87,14 +87,14 @@ def stored_splits(spark, sf):
 
 
 def stored_taxonomy(spark, sf):
-    found = T.build_slots(catalog.read_taxonomy(spark, _stored(spark, sf)))
+    found = T.build_slots(catalog.read_taxonomy(spark, stored_catalog(spark, sf)))
     return found.select("category", "feature_name", "slot_type", joined("allowed").alias("allowed"), "unit")
 
 
 def stored_template(spark, sf):
     from merkmal.operators.scale import global_rank
 
-    rows = catalog.read_template(spark, _stored(spark, sf)).select("uid", "feature_name", "feature_type", "feature_value", "template_pos.*")
+    rows = catalog.read_template(spark, stored_catalog(spark, sf)).select("uid", "feature_name", "feature_type", "feature_value", "template_pos.*")
     return global_rank(rows, ["file_path", "row_index"], "place").select("uid", "feature_name", "feature_type", "feature_value", "place")
 
 

@@ -1,13 +1,14 @@
 """Per-feature text classifiers: vocabulary, fit, score and ensemble.
 
-Word and character statistics are DataFrame aggregates. Fitting and scoring run
-in Arrow groups of bounded size: the rows of a feature are hashed into shards,
-so a feature that holds a third of all rows becomes many tasks, and each task
-sees one shard and one feature's model (at most ``max_terms`` terms times
-``max_classes`` classes).
-
-A model is one table ``(model, feature_name, term, idf, weights, classes)``. Each
-term row carries one weight per class; the row with a null term carries the
+Word and character statistics are DataFrame aggregates over all rows. The descent
+of a feature runs in one task on at most ``max_fit_rows`` of its rows, so a fit
+depends on the feature's own rows only. Scoring runs in Arrow groups of bounded
+size: the rows of a feature are hashed into shards, so a feature that holds a
+third of all rows becomes many tasks, and each task sees one shard and one
+feature's model (at most ``max_terms`` terms times ``max_classes`` classes).
+
+A model is one table ``(model, form, feature_name, term, idf, weights, classes)``;
+``form`` names the text it was fitted on, and scoring uses the same. Each term row carries one weight per class; the row with a null term carries the
 intercepts and the class names.
 """
 
@@ -25,8 +26,8 @@ from merkmal.operators.scale import group_tasks, sharded, top_per_group
 from merkmal.session import cut_lineage
 
 MIN_ROWS, MIN_CLASSES, MAX_CLASSES, MAX_TERMS = 30, 2, 1000, 5000
-ROWS_PER_SHARD = 4000
-MODEL_SCHEMA = "model string, feature_name string, term string, idf double, weights array<double>, classes array<string>"
+MAX_FIT_ROWS, ROWS_PER_SHARD = 20_000, 20_000
+MODEL_SCHEMA = "model string, form string, feature_name string, term string, idf double, weights array<double>, classes array<string>"
 
 TERMS = {"word": word_terms, "char": char_terms}
 TEXTS = {"plain": plain_text, "piped": piped_text}
@@ -177,16 +178,16 @@ def _copies(model: DataFrame, sharded: DataFrame) -> DataFrame:
 
 def fit(labelled: DataFrame, kind: str = "word", text: str = "plain", description_chars: int | None = None,
         min_rows: int = MIN_ROWS, max_classes: int = MAX_CLASSES, max_terms: int = MAX_TERMS, epochs: int = 100,
-        rounds: int = 3, seed: int = 42, rows_per_shard: int = ROWS_PER_SHARD) -> DataFrame:
+        seed: int = 42, max_fit_rows: int = MAX_FIT_ROWS) -> DataFrame:
     """Model table for every feature that passes the gate.
 
-    Each shard descends on its own rows from the common weights; the shards'
-    weights are then averaged by their rows, and the next round starts from the
-    average. A feature of one shard gets plain descent.
+    Vocabulary, idf, classes and class sizes come from all rows of a feature. The
+    descent sees the ``max_fit_rows`` rows of the feature with the lowest seeded
+    hash (all rows where there are fewer), in one task per feature.
     """
     gate = training_gate(labelled, min_rows, max_classes)
-    documents = labelled.join(gate.select("feature_name", "n_rows"), "feature_name").select(
-        "uid", "feature_name", "feature_value", "n_rows", TEXTS[text](description_chars).alias("text")
+    documents = labelled.join(gate.select("feature_name"), "feature_name", "left_semi").select(
+        "uid", "feature_name", "feature_value", TEXTS[text](description_chars).alias("text")
     )
     documents = cut_lineage(documents)
     vocab = vocabulary(documents, kind, max_terms)
@@ -198,69 +199,52 @@ def fit(labelled: DataFrame, kind: str = "word", text: str = "plain", descriptio
         "feature_name",
         F.lit(None).cast("string").alias("term"),
         F.lit(None).cast("double").alias("idf"),
-        F.transform("c", lambda c: F.lit(0.0)).alias("weights"),
         F.transform("c", lambda c: c["value"]).alias("classes"),
         F.transform("c", lambda c: c["n"].cast("double")).alias("sizes"),
     )
-    blank = vocab.select("feature_name", "term", "idf").join(head.select("feature_name", "weights"), "feature_name")
-    start = head.unionByName(
-        blank.withColumn("classes", F.lit(None).cast("array<string>")).withColumn("sizes", F.lit(None).cast("array<double>"))
-    )
-    model = cut_lineage(start)
-    rows = cut_lineage(sharded(documents, ["feature_name"], ["uid"], rows_per_shard))
-    most = rows.agg(F.max("n_shards")).first()[0] or 0
-    rounds = 1 if most <= 1 else rounds
-    for number in range(rounds):
-        model = cut_lineage(_fit_round(rows, model, kind, max(1, epochs // rounds), seed + number))
-    return model.select(F.lit(kind).alias("model"), "feature_name", "term", "idf", "weights", "classes")
+    state = head.unionByName(vocab.select("feature_name", "term", "idf"), allowMissingColumns=True)
+    state = state.select(*[F.col(c).alias(c) for c in state.columns])  # no column identities shared with the rows
+    order = [F.xxhash64("uid", "feature_value", F.lit(seed)), F.col("uid"), F.col("feature_value"), F.col("text")]
+    chosen = top_per_group(documents, ["feature_name"], order, ["uid"], max_fit_rows, rank="place")
+    learned = _descend(chosen, state, kind, epochs, seed)
+    return learned.select(F.lit(kind).alias("model"), F.lit(text).alias("form"), "*")
 
 
-def _fit_round(rows: DataFrame, model: DataFrame, kind: str, epochs: int, seed: int) -> DataFrame:
+def _descend(rows: DataFrame, state: DataFrame, kind: str, epochs: int, seed: int) -> DataFrame:
     def run(key, data: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
-        index, idf, matrix, bias, classes = read_model(state)
-        if data.empty:
-            return pd.DataFrame({"feature_name": [], "term": [], "weights": [], "share": []})
-        data = data.sort_values(["uid", "feature_value"])
+        head = state[state["term"].isna()].iloc[0]
+        terms = state[state["term"].notna()].sort_values("term")
+        index, idf = {t: i for i, t in enumerate(terms["term"])}, terms["idf"].to_numpy(float)
+        classes, sizes = list(head["classes"]), np.array(head["sizes"], dtype=float)
         number = {c: i for i, c in enumerate(classes)}
-        labels = data["feature_value"].map(number).to_numpy()
-        sizes = np.array(state[state["term"].isna()].iloc[0]["sizes"], dtype=float)
-        balance = sizes.sum() / (len(sizes) * sizes)
+        data = data.sort_values("place")
         vectors = [sparse_row(t, kind, index, idf) for t in data["text"]]
+        balance = sizes.sum() / (len(sizes) * sizes)
+        matrix, bias = np.zeros((len(index), len(classes))), np.zeros(len(classes))
         one = len(classes) == 2  # a single margin, for the second class
         used, ends = (matrix[:, 1:], bias[1:]) if one else (matrix, bias)
-        fit_shard(vectors, labels, balance, used, ends, epochs, seed)
-        share = len(data) / float(data["n_rows"].iloc[0])
+        fit_shard(vectors, data["feature_value"].map(number).to_numpy(), balance, used, ends, epochs, seed)
         return pd.DataFrame(
             {
                 "feature_name": key[0],
                 "term": [None, *index],
+                "idf": [None, *idf],
                 "weights": [bias.tolist(), *matrix.tolist()],
-                "share": share,
+                "classes": [classes] + [None] * len(index),
             }
         )
 
-    keys = ["feature_name", "shard"]
-    states = group_tasks(_copies(model, rows), keys)
-    learned = group_tasks(rows, keys).groupBy(*keys).cogroup(states.groupBy(*keys)).applyInPandas(
-        run, "feature_name string, term string, weights array<double>, share double"
-    )
-    # One value per (term, class) is averaged over the shards; only then is the array rebuilt.
-    spread = learned.select("feature_name", "term", "share", F.posexplode("weights").alias("class", "w"))
-    average = spread.groupBy("feature_name", "term", "class").agg(
-        (F.sum(F.col("w") * F.col("share")) / F.sum("share")).alias("w")
+    keys = ["feature_name"]
+    return group_tasks(rows, keys).groupBy(*keys).cogroup(group_tasks(state, keys).groupBy(*keys)).applyInPandas(
+        run, MODEL_SCHEMA.replace("model string, form string, ", "")
     )
-    arrays = average.groupBy("feature_name", "term").agg(F.array_sort(F.collect_list(F.struct("class", "w"))).alias("cw"))
-    fresh = arrays.select("feature_name", "term", F.transform("cw", lambda c: c["w"]).alias("weights"))
-    old = model.drop("weights").withColumnsRenamed({"feature_name": "f", "term": "t"})
-    same = (F.col("f") == F.col("feature_name")) & F.col("t").eqNullSafe(F.col("term"))
-    return fresh.join(old, same).select("feature_name", "term", "idf", "weights", "classes", "sizes")
 
 
 # ---- score ------------------------------------------------------------------------
 
 
 def score(rows: DataFrame, model: DataFrame, text: dict[str, str] | None = None, description_chars: int | None = None,
-          rows_per_shard: int = 5 * ROWS_PER_SHARD, slots: DataFrame | None = None) -> DataFrame:
+          rows_per_shard: int = ROWS_PER_SHARD, slots: DataFrame | None = None) -> DataFrame:
     """Best class per row and model: ``<model>_value`` and ``<model>_confidence``.
 
     ``rows`` carry uid, feature_name, category, title, description and ``allowed``
@@ -268,7 +252,8 @@ def score(rows: DataFrame, model: DataFrame, text: dict[str, str] | None = None,
     Rows of features without a model are not returned. Both models are scored in
     one pass over one shuffle of the texts.
     """
-    kinds = text or {"word": "plain", "char": "plain"}
+    stored = {r["model"]: r["form"] for r in model.select("model", "form").distinct().collect()}  # one row per model
+    kinds = text or {"word": "plain", "char": "plain"} | stored
     used = model.select("feature_name").distinct()
     ready = rows.join(used, "feature_name", "left_semi").select(
         "uid", "feature_name", "category", "allowed",
@@ -297,7 +282,7 @@ def score(rows: DataFrame, model: DataFrame, text: dict[str, str] | None = None,
             out[f"{kind}_confidence"] = [b[1] for b in best]
         return out
 
-    schema = "uid long, feature_name string, category string" + "".join(
+    schema = f"uid {rows.schema['uid'].dataType.simpleString()}, feature_name string, category string" + "".join(
         f", {k}_value string, {k}_confidence double" for k in kinds
     )
     keys = ["feature_name", "shard"]

@@ -32,7 +32,7 @@ def learn(taxonomy: DataFrame, products: DataFrame, labels: DataFrame, models: b
     model = None
     if models:
         labelled = labelled_products(labels, products, ["category", "title", "description"])
-        model = fit(labelled, "word", **fit_options).unionByName(fit(labelled, "char", **fit_options))
+        model = cut_lineage(fit(labelled, "word", **fit_options).unionByName(fit(labelled, "char", **fit_options)))
     return Knowledge(slots, lookup, feature_mode(labels), model)
 
 

@@ -40,27 +40,48 @@ def test_task_terms_equal_native_terms(spark):
 def test_dictionary_join_equals_brute_force(spark):
     generator = random.Random(7)
     letters = "abcß "
-    texts = [(i, "".join(generator.choice(letters) for _ in range(30)), None) for i in range(60)]
+    keys = [None if i % 9 == 0 else i // 2 for i in range(60)]  # repeated and null keys
+    texts = [(k, "".join(generator.choice(letters) for _ in range(30)), None) for k in keys]
     words = sorted({"".join(generator.choice("abcß") for _ in range(generator.randint(1, 5))) for _ in range(40)})
     products = spark.createDataFrame(texts, "uid bigint, title string, description string")
     values = spark.createDataFrame([(w,) for w in words], "value string")
-    expected = sorted((i, w) for i, t, _ in texts for w in words if w in t.lower())
-    for limit in (1 << 30, 0):  # broadcast and shuffled form
-        found = dictionary_hits(products, values, limit=limit)
-        assert sorted((r["uid"], r["value"]) for r in found.collect()) == expected
+    expected = sorted((str(k), w) for k, t, _ in texts for w in words if w in t.lower())
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for limit in (held, "-1"):  # broadcast and shuffled form
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            found = dictionary_hits(products, values).collect()
+            assert sorted((str(r["uid"]), r["value"]) for r in found) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
 
 
-def test_fit_learns_and_repeats_with_many_shards(spark):
-    rows = [(i, "Farbe", ["rot", "blau", "grün"][i % 3], "Stift " + ["rot", "blau", "grün"][i % 3] + f" {i % 7}", None) for i in range(240)]
-    labelled = spark.createDataFrame(rows, "uid bigint, feature_name string, feature_value string, title string, description string").withColumn("category", F.lit("c"))
-    for shard_rows in (1000, 60):
-        model = T.fit(labelled, "word", epochs=12, rows_per_shard=shard_rows)
+def colours(feature, n):
+    return [(i, feature, ["rot", "blau", "grün"][i % 3], "Stift " + ["rot", "blau", "grün"][i % 3] + f" {i % 7}", None) for i in range(n)]
+
+
+def labelled_frame(spark, rows):
+    return spark.createDataFrame(rows, "uid bigint, feature_name string, feature_value string, title string, description string").withColumn("category", F.lit("c"))
+
+
+def weights_of(model, feature):
+    return sorted((r["term"] or "", [round(w, 9) for w in r["weights"]]) for r in model.filter(F.col("feature_name") == feature).collect())
+
+
+def test_fit_learns_and_repeats_on_bounded_rows(spark):
+    labelled = labelled_frame(spark, colours("Farbe", 240))
+    for bound in (1000, 60):
+        model = T.fit(labelled, "word", epochs=12, max_fit_rows=bound)
         scored = T.score(labelled.withColumn("allowed", F.array().cast("array<string>")), model, {"word": "plain"}, rows_per_shard=50)
         joined = scored.join(labelled.select("uid", "feature_value"), "uid")
         assert joined.agg(F.avg(is_correct("word_value"))).first()[0] > 0.99
-    again = T.fit(labelled, "word", epochs=12, rows_per_shard=60)
-    key = lambda m: sorted((r["term"] or "", [round(w, 9) for w in r["weights"]]) for r in m.collect())
-    assert key(model) == key(again)
+    assert weights_of(model, "Farbe") == weights_of(T.fit(labelled.repartition(7), "word", epochs=12, max_fit_rows=60), "Farbe")
+
+
+def test_fit_of_a_feature_ignores_other_features(spark):
+    alone = T.fit(labelled_frame(spark, colours("A", 90)), "word", epochs=8, max_fit_rows=100)
+    both = T.fit(labelled_frame(spark, colours("A", 90) + colours("B", 300)), "word", epochs=8, max_fit_rows=100)
+    assert weights_of(alone, "A") == weights_of(both, "A")
 
 
 def test_description_cut_is_only_used_when_asked(spark):
@@ -96,3 +117,23 @@ def test_rules_run_on_a_stream(spark, tmp_path):
     stream_predictions(stream, slots, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination(120)
     got = sorted(map(str, spark.read.parquet(str(tmp_path / "out")).collect()))
     assert got == sorted(map(str, predict_by_rules(rows, slots).collect()))
+
+
+def test_stored_models_and_trial_limit_in_a_job(spark, tmp_path):
+    from merkmal.plans import job
+
+    root = str(tmp_path)
+    rows = [(i, "c", "Stift " + ["rot", "blau", "grün"][i % 3], None) for i in range(90)]
+    products = spark.createDataFrame(rows, "uid bigint, category string, title string, description string")
+    labels = products.select("uid", F.lit("Farbe").alias("feature_name"), F.initcap(F.split("title", " ")[1]).alias("feature_value"), F.lit("categorical").alias("feature_type"))
+    for split in ("train", "val"):
+        products.write.parquet(f"{root}/{split}/products.parquet")
+        labels.write.parquet(f"{root}/{split}/product_features.parquet")
+    spark.createDataFrame([("c", "Farbe", "categorical", "{'[Rot]','[Blau]','[Grün]'}")],
+        "category string, feature_name string, feature_type string, aggregated_feature_values string").write.parquet(f"{root}/taxonomy/taxonomy.parquet")
+    assert job.stored_model(spark, f"{root}/models") is None
+    job.train(spark, root, f"{root}/models", epochs=5, text="piped")
+    assert {(r["model"], r["form"]) for r in job.stored_model(spark, f"{root}/models").select("model", "form").distinct().collect()} == {("word", "piped"), ("char", "piped")}
+    scores = job.run(spark, root, "val", f"{root}/out", limit=40, model_path=f"{root}/models")
+    assert {r["metric"]: (r["accuracy"], r["n"]) for r in scores.collect()}["overall"] == (1.0, 40)
+    assert spark.read.parquet(f"{root}/out").count() == 40
