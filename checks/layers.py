@@ -202,7 +202,7 @@ SINGLE_SQL = "CASE WHEN len(allowed) = 1 THEN allowed[1] END"
 def closest_sql(word, cutoff):
     """Most similar listed value by edits, at or over the cutoff."""
     return f"""list_sort(list_filter(list_transform(list_filter(allowed, lambda a: least(length(a), length({word})) >= {cutoff} * greatest(length(a), length({word}))),
-      lambda a: {{'s': -(CASE WHEN greatest(length(a), length({word})) > 0 THEN 1 - levenshtein({word}, a) / greatest(length(a), length({word})) ELSE 1.0 END), 'v': a}}), lambda e: -e.s >= {cutoff}))[1].v"""
+      lambda a: {{'s': (CASE WHEN greatest(length(a), length({word})) > 0 THEN 1 - levenshtein({word}, a) / greatest(length(a), length({word})) ELSE 1.0 END), 'v': a}}), lambda e: e.s >= {cutoff}))[-1].v"""
 
 
 def _described(close):

@@ -174,6 +174,6 @@ PAIRS = {
         r"""SELECT uid, feature_name, written, CASE WHEN NOT list_contains(allowed, written) AND list_contains(allowed, flat) THEN flat ELSE written END AS snapped
            FROM (SELECT *, regexp_replace(trim(written), '\s+', ' ', 'g') AS flat FROM written_labels WHERE feature_type = 'numeric')""", "written_labels", **_W)),
     "closest_by_edits": (closest_by_edits, with_relations(
-        """SELECT uid, feature_name, b.v AS closest, round(-b.s, 6) AS similarity FROM (SELECT uid, feature_name, list_sort(list_filter(list_transform(allowed,
-             lambda a: {'s': -(1 - levenshtein(written, a) / greatest(length(a), length(written))), 'v': a}), lambda e: -e.s >= 0.6))[1] AS b FROM written_labels)""", "written_labels", **_W)),
+        """SELECT uid, feature_name, b.v AS closest, round(b.s, 6) AS similarity FROM (SELECT uid, feature_name, list_sort(list_filter(list_transform(allowed,
+             lambda a: {'s': 1 - levenshtein(written, a) / greatest(length(a), length(written)), 'v': a}), lambda e: e.s >= 0.6))[-1] AS b FROM written_labels)""", "written_labels", **_W)),
 }

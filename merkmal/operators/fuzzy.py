@@ -12,9 +12,9 @@ def edit_similarity(a: Column, b: Column) -> Column:
 
 
 def closest_entry(word: Column, candidates: Column, cutoff: float) -> Column:
-    """``(s, v)`` of the candidate with the highest similarity ``-s`` at or over the cutoff.
+    """``(s, v)`` of the candidate with the highest similarity ``s`` at or over the cutoff.
 
-    Ties go to the value first in binary order; null when the word is null or nothing is
+    Ties go to the value last in binary order; null when the word is null or nothing is
     close enough. Lengths alone bound the similarity, so few candidates are compared.
     """
     length = F.length(word)
@@ -22,10 +22,10 @@ def closest_entry(word: Column, candidates: Column, cutoff: float) -> Column:
         candidates, lambda c: F.least(F.length(c), length) >= F.lit(cutoff) * F.greatest(F.length(c), length)
     )
     scored = F.filter(
-        F.transform(reachable, lambda c: F.struct((-edit_similarity(word, c)).alias("s"), c.alias("v"))),
-        lambda e: -e["s"] >= cutoff,
+        F.transform(reachable, lambda c: F.struct(edit_similarity(word, c).alias("s"), c.alias("v"))),
+        lambda e: e["s"] >= cutoff,
     )
-    return F.array_min(scored)
+    return F.array_max(scored)
 
 
 def closest_listed(word: Column, candidates: Column, cutoff: float) -> Column:
@@ -35,4 +35,4 @@ def closest_listed(word: Column, candidates: Column, cutoff: float) -> Column:
 def closest_by_edits(rows: DataFrame, value: str, cutoff: float, out: str = "closest") -> DataFrame:
     """Adds the closest of ``allowed`` to column ``value``, and its similarity."""
     best = closest_entry(F.col(value), F.col("allowed"), cutoff)
-    return rows.withColumn(out, best["v"]).withColumn("similarity", -best["s"])
+    return rows.withColumn(out, best["v"]).withColumn("similarity", best["s"])

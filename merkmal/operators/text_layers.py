@@ -147,6 +147,10 @@ def anchored(values: DataFrame) -> DataFrame:
     )
 
 
+#: A dictionary up to this many values is sent to all executors; the rows found are the same beyond it.
+BROADCAST_WORDS = 100_000
+
+
 def dictionary_hits(products: DataFrame, values: DataFrame, key: str = "uid") -> DataFrame:
     """Every dictionary value found in a product's text, whatever the slot: one row per input row and value.
 
@@ -157,9 +161,13 @@ def dictionary_hits(products: DataFrame, values: DataFrame, key: str = "uid") ->
     as different rows; only (row, piece) meets the values, and the text joins by row.
     """
     texts = cut_lineage(products.select(F.monotonically_increasing_id().alias("_row"), F.col(key).alias(key), F.lower(rule_text()).alias("text_lower")))
-    words = anchored(values)
-    # A value of one or two characters is its own anchor, all others have three.
-    pieces = F.array_distinct(F.concat(*[substrings(F.col("text_lower"), n) for n in (1, 2, 3)]))
+    words = cut_lineage(anchored(values))
+    sizes = words.groupBy(F.length("anchor").alias("n")).agg(F.count("*").alias("words")).collect()  # at most 3 rows
+    if not sizes:
+        return texts.select(key, F.lit(None).cast("string").alias("value")).filter("false")
+    if sum(r["words"] for r in sizes) <= BROADCAST_WORDS:
+        words = F.broadcast(words)
+    pieces = F.array_distinct(F.concat(*[substrings(F.col("text_lower"), r["n"]) for r in sorted(sizes)]))
     met = texts.select("_row", F.explode(pieces).alias("anchor")).join(words, "anchor").select("_row", "value", "lower")
     holds = F.col("text_lower").contains(F.col("lower"))
     return met.join(texts, "_row").filter(holds).select(key, "value")

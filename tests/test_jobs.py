@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from merkmal.functions.text import char_terms, plain_text, word_terms
 from merkmal.operators import batches as B, scale as X, textmodel as T
 from merkmal.operators.scoring import is_correct
+from merkmal.operators import text_layers
 from merkmal.operators.text_layers import dictionary_hits
 
 
@@ -37,7 +38,7 @@ def test_task_terms_equal_native_terms(spark):
             assert sorted(row["terms"]) == sorted(T.text_terms(row["text"], kind))
 
 
-def test_dictionary_join_equals_brute_force(spark):
+def test_dictionary_join_equals_brute_force(spark, monkeypatch):
     generator = random.Random(7)
     letters = "abcß "
     keys = [None if i % 9 == 0 else i // 2 for i in range(60)]  # repeated and null keys
@@ -48,8 +49,9 @@ def test_dictionary_join_equals_brute_force(spark):
     expected = sorted((str(k), w) for k, t, _ in texts for w in words if w in t.lower())
     held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
-        for limit in (held, "-1"):  # broadcast and shuffled form
+        for limit, bound in ((held, 100), ("-1", 0)):  # broadcast and shuffled form
             spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            monkeypatch.setattr(text_layers, "BROADCAST_WORDS", bound)
             found = dictionary_hits(products, values).collect()
             assert sorted((str(r["uid"]), r["value"]) for r in found) == expected
     finally:
@@ -84,6 +86,23 @@ def test_fit_of_a_feature_ignores_other_features(spark):
     assert weights_of(alone, "A") == weights_of(both, "A")
 
 
+def test_title_lookup_is_the_same_in_shuffled_form(spark):
+    from merkmal.operators.lookups import add_title_lookup
+
+    rows = spark.createDataFrame([(i, "Farbe", f"Stift {i % 5}" if i % 7 else None, ["a", "b"]) for i in range(60)],
+                                 "uid bigint, feature_name string, title string, allowed array<string>")
+    lookup = spark.createDataFrame([("Farbe", f"Stift {i}", v, 3) for i, v in enumerate("abc")], "feature_name string, title string, value string, n bigint")
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    found = []
+    try:
+        for limit in (held, "-1"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            found.append(sorted(map(str, add_title_lookup(rows, lookup, "hit").select("uid", "hit").collect())))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    assert found[0] == found[1] and len(found[0]) == 60
+
+
 def test_description_cut_is_only_used_when_asked(spark):
     row = spark.createDataFrame([("t", "x" * 900)], "title string, description string")
     whole, short = row.select(plain_text(), plain_text(200)).first()

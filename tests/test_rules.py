@@ -31,7 +31,9 @@ CASES = [
     ("Länge", "numeric", ["50 mm"], "Stift 3 mm 16 mm", None, "16 mm", "measured"),
     ("Fächeranzahl", "numeric", ["20 Fächer"], "Kasten 4×5 Fächer", None, "20 Fächer", "domain_rule"),
     ("Größe", "categorical", ["klein"], "x", "GRÖßE: KLEIN.", "klein", "described"),
-    ("Farbe", "categorical", ["Grünlichgrau", "Rot"], "x", "Farbe: Gruenlichgrau", "Grünlichgrau", "described"),
+    ("Farbe", "categorical", ["Grünlichgrau", "Rot"], "x", "Farbe: Grünlichgraw", "Grünlichgrau", "described"),
+    # Two edits in 13 characters are under the cutoff of 0.85; a sequence-match ratio (0.88) would have taken it.
+    ("Farbe", "categorical", ["Grünlichgrau", "Rot"], "x", "Farbe: Gruenlichgrau", None, "none"),
     ("Körnung", "numeric", ["80", "60"], "x", "Art: a • - Korngröße: 80", "80", "described"),
     ("Form", "categorical", ["rund", "rund und flach", "flach"], "Griff rund und flach", None, "rund und flach", "contained"),
     ("Norm", "categorical", ["DIN 933"], "nichts", None, "DIN 933", "single_value"),
