@@ -52,12 +52,12 @@ def word_terms(text: Column) -> Column:
 
 
 def substrings(text: Column, n: int) -> Column:
-    """All substrings of ``n`` characters in order, in one walk over the characters."""
-    piece = lambda chars, i: F.concat(*[F.get(chars, i + k) for k in range(n)])
-    whole = lambda chars: F.when(
-        F.size(chars) >= n, F.transform(F.sequence(F.lit(0), F.size(chars) - n), lambda i: piece(chars, i))
-    ).otherwise(F.array().cast("array<string>"))
-    return once(F.filter(F.split(text, ""), lambda c: c != ""), whole)
+    """All substrings of ``n`` characters in order.
+
+    A look-ahead at every character takes them in one native walk; positions in
+    the middle of a surrogate pair are no characters.
+    """
+    return F.regexp_extract_all(text, F.lit(rf"(?s)(?![\x{{DC00}}-\x{{DFFF}}])(?=(.{{{n}}}))"), F.lit(1))
 
 
 def char_terms(text: Column, low: int = 2, high: int = 4) -> Column:

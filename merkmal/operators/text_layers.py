@@ -168,6 +168,7 @@ def dictionary_hits(products: DataFrame, values: DataFrame, key: str = "uid") ->
     if sum(r["words"] for r in sizes) <= BROADCAST_WORDS:
         words = F.broadcast(words)
     pieces = F.array_distinct(F.concat(*[substrings(F.col("text_lower"), r["n"]) for r in sorted(sizes)]))
-    met = texts.select("_row", F.explode(pieces).alias("anchor")).join(words, "anchor").select("_row", "value", "lower")
+    # The outer form, because the other one computes all pieces a second time to drop empty texts; the join drops them too.
+    met = texts.select("_row", F.explode_outer(pieces).alias("anchor")).join(words, "anchor").select("_row", "value", "lower")
     holds = F.col("text_lower").contains(F.col("lower"))
     return met.join(texts, "_row").filter(holds).select(key, "value")

@@ -99,18 +99,13 @@ LABELS = [
 ]
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread_on: str | None = None) -> DataFrame:
-    """A test table. Text work costs far more than reading: a table of fewer files
-    than the cluster has cores is spread once by its key."""
-    table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if spread_on and len(table.inputFiles()) < cores:
-        table = table.repartition(cores, spread_on)
-    return table
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table as it is stored; the scan's splits decide its partitions."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = read_table(spark, sf_dir, "part", "p_partkey")
+    part = read_table(spark, sf_dir, "part")
     return part.selectExpr(*[f"{text} AS {name}" for name, text in PRODUCT_COLUMNS.items()])
 
 
@@ -151,7 +146,7 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     stacked = F.array(*[
         F.struct(F.lit(n).alias("feature_name"), F.expr(v).alias("feature_value"), F.lit(t).alias("feature_type")) for n, t, v in LABELS
     ])
-    part = read_table(spark, sf_dir, "part", "p_partkey").withColumn("uid", F.col("p_partkey"))
+    part = read_table(spark, sf_dir, "part").withColumn("uid", F.col("p_partkey"))
     return (
         with_split(part)
         .filter("split <> 'test'")
@@ -198,6 +193,6 @@ def order_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as products: the source is the category, the whole text the description."""
-    return read_table(spark, sf_dir, "documents", "doc_id").select(
+    return read_table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("uid"), F.col("source").alias("category"), F.concat_ws(" ", "lang", "source").alias("title"), F.col("text").alias("description")
     )
