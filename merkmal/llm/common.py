@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -151,6 +152,19 @@ def rolling(words: np.ndarray, k: int, multiplier: np.uint64 = _MULTIPLIER) -> n
     return mixed(out)
 
 
+def lowest_by_hash(df: DataFrame, keys: list[str], rows: int, total: int) -> DataFrame:
+    """At most ``rows`` rows of a table of ``total``, those with the lowest hash of ``keys``.
+
+    Hashes are even, so a bound on them leaves little more than ``rows`` rows in all; without
+    it the last task would merge ``rows`` rows of every partition. Rows with equal keys pass together.
+    """
+    mark = F.xxhash64(*keys)
+    share = (rows + 8 * math.sqrt(rows) + 16) / max(total, 1)
+    if share < 1:
+        df = df.filter(mark <= F.lit(int(share * 2**64) - 2**63))
+    return df.orderBy(mark, keys[0]).limit(rows)
+
+
 def in_cells(df: DataFrame, cell: str, order: list[Column], offsets: DataFrame, position: str) -> DataFrame:
     """Gapless position of a row: the offset of its cell plus its rank inside the cell.
 

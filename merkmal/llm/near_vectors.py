@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from merkmal.llm.common import components, read_table
+from merkmal.llm.common import components, lowest_by_hash, read_table
 from merkmal.operators.scale import global_rank
 from merkmal.session import cut_lineage
 
@@ -45,7 +45,8 @@ def principal_basis(vectors: DataFrame, rows: int = BASIS_ROWS) -> np.ndarray:
 
     Only the order of the grid depends on the sample; any orthonormal basis gives the same links.
     """
-    sample = vectors.orderBy(F.xxhash64("vec_id", "embedding")).limit(rows).select("embedding").toArrow().column("embedding").to_pylist()
+    sample = lowest_by_hash(vectors, ["vec_id", "embedding"], rows, vectors.count())
+    sample = sample.select("embedding").toArrow().column("embedding").to_pylist()
     if not sample:
         return np.eye(1)
     unit, _ = unit_rows(sample)

@@ -11,7 +11,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from merkmal.llm.common import ALNUM_TABLE, read_table, small_batches
+from merkmal.llm.common import ALNUM_TABLE, lowest_by_hash, read_table, small_batches
 
 # Letters that a sign can stand for.
 LEET = {
@@ -192,7 +192,7 @@ def training_ids(labels: DataFrame, toxic_rows: int, clean_rows: int) -> tuple[D
     usable = labels.filter("doc_id is not null and toxic in (0, 1)").filter(~held_out(F.col("doc_id")))
     usable = usable.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     counts = {r["toxic"]: r["n"] for r in usable.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    pick = lambda value, n: usable.filter(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
+    pick = lambda value, n: lowest_by_hash(usable.filter(F.col("toxic") == value), ["doc_id"], n, counts.get(value, 0))
     prior = math.log((counts.get(1, 0) + 0.5) / (counts.get(0, 0) + 0.5))
     return pick(1, toxic_rows).union(pick(0, clean_rows)), prior
 

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from merkmal.llm import decontaminate, html_text, licenses, near_vectors, packing, sharding, shingle_join, substrings, toxicity, warc
+from merkmal.llm.common import lowest_by_hash
 from merkmal.session import scratch_path
 
 WORDS = [a + b for a in "bdfklmnprst" for b in ("a", "e", "io", "u")]
@@ -221,3 +222,14 @@ def test_toxic_words_are_learned_from_the_training_fold(spark):
     assert len(out) == 302 and all(0 <= r["score"] <= 1 for r in out)
     held = [r for r in out if r["held_out"] and r["doc_id"] is not None and r["doc_id"] < 300]
     assert held and all(r["predicted"] == int(r["doc_id"] % 3 == 0) for r in held)
+
+
+def test_hash_sample_is_that_of_a_plain_sort(spark):
+    table = spark.range(30_000).withColumn("x", F.col("id") % 7)
+    got = {r["id"] for r in lowest_by_hash(table, ["id"], 200, 30_000).collect()}
+    plain = sorted((r["h"], r["id"]) for r in table.select("id", F.xxhash64("id").alias("h")).collect())[:200]
+    assert got == {i for _, i in plain}
+    assert lowest_by_hash(table, ["id"], 40_000, 30_000).count() == 30_000
+    assert lowest_by_hash(table.filter("false"), ["id"], 5, 0).count() == 0
+    few = lowest_by_hash(table.select("x"), ["x"], 50, 30_000)  # repeated keys pass together or not at all
+    assert few.count() <= 50
