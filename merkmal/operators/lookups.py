@@ -32,7 +32,7 @@ def feature_mode(labels: DataFrame) -> DataFrame:
 def add_title_lookup(rows: DataFrame, lookup: DataFrame, out: str = "looked_up") -> DataFrame:
     """Add the looked-up value, kept when the slot is empty or lists it.
 
-    The lookup grows with the catalog; it is broadcast only when measured small,
+    The lookup grows with the catalog; adaptive execution broadcasts it where it is small,
     otherwise both sides shuffle on (feature_name, title) and adaptive execution
     splits titles that hold many rows (the lookup has one row per key).
     """
