@@ -39,7 +39,6 @@ TEMPLATES = [
 ]
 
 ANCHORS = 4
-LOOKUPS = 6
 
 
 @dataclass(frozen=True)
@@ -90,15 +89,17 @@ def _base_places(words: Column, phrase: tuple[str, ...]) -> Column:
     return F.filter(starts, lambda s: _phrase_at(words, s, phrase))
 
 
-def scan(docs: DataFrame, templates=TEMPLATES, base=BASE_PHRASES, anchors: int = ANCHORS, lookups: int = LOOKUPS) -> DataFrame:
+def scan(docs: DataFrame, templates=TEMPLATES, base=BASE_PHRASES, anchors: int = ANCHORS) -> DataFrame:
     """doc_id, base places, labels, score and matched templates of every row.
 
     Inverse document frequencies of the template words come from all rows. The
     index holds, per template, its ``anchors`` rarest words with their places.
-    Of each file the ``lookups`` rarest indexed words are looked up; a posting
-    votes for the start ``place in file - place in template``. A start with votes
-    of two indexed words (one, if the template has only one) is verified: all
-    mandatory phrases must stand at their places. score is the share of the
+    Every indexed word of a file is looked up, so any number of templates can
+    stand in one file; a posting votes for the start ``place in file - place in
+    template``. A start with votes of two indexed words (one, if the template has
+    only one) is verified: all mandatory phrases must stand at their places.
+    Votes of a start are read at its places, so work grows with the votes, not
+    with their square. score is the share of the
     template's words in place at the best verified start; a base place alone
     scores at least 0.5. No shuffle besides the word counts.
 
@@ -113,10 +114,12 @@ def scan(docs: DataFrame, templates=TEMPLATES, base=BASE_PHRASES, anchors: int =
     idf = {w: math.log((total + 1) / (counts.get(w, 0) + 1)) for w in vocabulary}
 
     postings: dict[str, list[tuple[int, int]]] = {}
-    needed = []
+    needed: list[int] = []
+    anchored: list[list[tuple[str, int]]] = []
     for number, t in enumerate(parsed):
         chosen = sorted(set(t.words), key=lambda w: (-idf[w], w))[:anchors]
         needed.append(min(2, len(chosen)))
+        anchored.append([(w, place) for place, w in enumerate(t.words) if w in chosen])
         for place, w in enumerate(t.words):
             if w in chosen:
                 postings.setdefault(w, []).append((number, place))
@@ -124,20 +127,15 @@ def scan(docs: DataFrame, templates=TEMPLATES, base=BASE_PHRASES, anchors: int =
     indexed = sorted(postings)
     index = F.create_map(*[x for w in indexed for x in (
         F.lit(w), F.array(*[F.struct(F.lit(t).alias("t"), F.lit(p).alias("p")) for t, p in postings[w]]))])
-    weight = F.create_map(*[x for w in indexed for x in (F.lit(w), F.lit(-idf[w]))])
 
     words = F.col("words")
-    rare = F.transform(
-        F.slice(F.array_sort(F.transform(F.array_intersect(words, _strings(indexed)), lambda w: F.struct(weight[w].alias("k"), w.alias("w")))), 1, lookups),
-        lambda s: s["w"],
-    )
-    empty_votes = F.array().cast("array<struct<t:int,s:int,w:string>>")
+    empty_votes = F.array().cast("array<struct<t:int,s:int>>")
     looked = F.filter(
-        F.transform(words, lambda w, i: F.when(F.array_contains(F.col("rare"), w), F.struct(w.alias("w"), i.alias("i")))),
+        F.transform(words, lambda w, i: F.when(w.isin(indexed), F.struct(w.alias("w"), i.alias("i")))),
         lambda h: h.isNotNull(),
     )
     votes = F.flatten(F.transform(F.col("looked"), lambda h: F.transform(
-        index[h["w"]], lambda p: F.struct(p["t"].alias("t"), (h["i"] - p["p"]).alias("s"), h["w"].alias("w")))))
+        index[h["w"]], lambda p: F.struct(p["t"].alias("t"), (h["i"] - p["p"]).alias("s")))))
 
     def verified(number: int, t: Template) -> Column:
         """Starts of one template that have votes enough and hold its phrases."""
@@ -145,7 +143,8 @@ def scan(docs: DataFrame, templates=TEMPLATES, base=BASE_PHRASES, anchors: int =
         starts = F.array_distinct(F.transform(own, lambda v: v["s"]))
 
         def holds(s):
-            hit = F.size(F.filter(own, lambda v: v["s"] == s)) >= needed[number]
+            same = [F.when(F.get(words, (s + p).cast("int")) == w, 1).otherwise(0) for w, p in anchored[number]]
+            hit = sum(same[1:], same[0]) >= needed[number]
             for place, phrase in t.phrases:
                 hit = hit & _phrase_at(words, s + place, phrase)
             return hit
@@ -162,8 +161,7 @@ def scan(docs: DataFrame, templates=TEMPLATES, base=BASE_PHRASES, anchors: int =
         phrase: F.when(cue, _base_places(words, tuple(phrase.split()))).otherwise(no_places) for phrase, _ in base
     }
     found = (
-        listed.withColumn("rare", rare)
-        .withColumn("looked", F.when(F.size("rare") > 0, looked).otherwise(F.array().cast("array<struct<w:string,i:int>>")))
+        listed.withColumn("looked", looked)
         .withColumn("votes", F.when(F.size("looked") > 0, votes).otherwise(empty_votes))
         .select(
             "doc_id",

@@ -158,6 +158,16 @@ def test_licences(spark):
     assert out[4]["labels"] == "cc-by-nc" and out[5]["labels"] == ""
 
 
+def test_licences_of_many_notices_in_one_file(spark):
+    of = {label: words for label, words, _ in licenses.TEMPLATES}
+    groups = [["bsd", "all-rights-reserved"], ["mit-text", "all-rights-reserved"], ["mit-text", "bsd", "mpl"], ["cc-by", "all-rights-reserved"],
+              ["mit-text", "bsd", "gpl", "mpl", "lgpl", "apache", "cc-by", "cc0"], list(of)]
+    rows = [(i, " filler words here ".join(of[label] for label in group)) for i, group in enumerate(groups)]
+    rows.append((len(groups), "all rights reserved all " * 3000 + of["mpl"]))
+    out = {r["doc_id"]: set(r["labels"].split(",")) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out == {**{i: set(group) for i, group in enumerate(groups)}, len(groups): {"all-rights-reserved", "mpl"}}
+
+
 def test_warc_round_trip(spark):
     big = "ü" * 600
     rows = [(1, "http://a/", big), (2, "http://b/\n", big), (3, None, "x"), (4, "http://c/", "x"), (None, "http://d/", big), (6, "u", None), (6, "u", None)]
