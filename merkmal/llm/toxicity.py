@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from functools import lru_cache
 from itertools import groupby
 
 import numpy as np
@@ -21,6 +22,7 @@ LEET = {
 SIGN_COST = 0.7
 KEPT_SIGN_COST = 6.0
 REPEAT_COST = 0.4
+SIGN_BORDER_COST = 3.0
 
 SLOT_BITS = 18
 SLOTS = 1 << SLOT_BITS
@@ -41,10 +43,12 @@ _MASK = (1 << 32) - 1
 _K = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)
 _SHIFT = 32 - SLOT_BITS
 PUNCTUATION = ".,;:!?\"'()[]{}<>…«»“”„’"
-RUN = re.compile(r"(.)\1\1")
-SPACED = re.compile(r"(?<!\S)[^\W_](?:[ .\-_*~]{1,3}[^\W_]){2,}(?!\S)")
+RUN = re.compile(r"(.)\1")
+#: Three single letters or signs of LEET at least with gaps between them; punctuation may stand around the run.
+SPACED = re.compile(
+    r"""(?<![^\s"'(\[{<«“„])(?<!\w')(?:[^\W_]|[@$!|+€£¢])(?:[ .\-_*~]{1,3}(?:[^\W_]|[@$!|+€£¢])){2,}(?=[.,;:!?"')\]}>…»”*~_\-]*(?!\S))""")
 EDGES = re.compile(r"^[^\w@$!|+€£¢]+|[^\w@$|+€£¢]+$")
-JOINERS = re.compile(r"[.\-_*~]")
+GAPS = re.compile(r"[^\w@$!|+€£¢]+|_+")
 
 
 def _slot(a: int, b: int, c: int) -> int:
@@ -92,6 +96,7 @@ class Decoder:
 
     def __init__(self, model: np.ndarray):
         self.triples, self.contexts = model[:SLOTS], model[SLOTS:]
+        self.cost = lru_cache(1 << 16)(self.cost)
 
     def cost(self, a: int, b: int, c: int) -> float:
         """-log P(c | a, b) of the character model, smoothed towards equal letters."""
@@ -101,19 +106,39 @@ class Decoder:
         return -math.log(n / max(n, float(self.contexts[_slot(a, b, 0)]) + SMOOTHING))
 
     def decode(self, word: str) -> str:
-        """Likeliest plain reading of ``word`` (lower case).
+        """Likeliest plain reading of ``word`` (lower case), words separated by one space.
 
         A run of one sign may be read as one, two or all of its repetitions; a
-        sign of LEET as one of its letters or, at a price, as itself. The state
-        is the last two letters, so the search is exact for the triple model.
+        sign of LEET as one of its letters or, at a price, as itself or (if it is
+        no digit) as a border. Any other sign is a gap, which is dropped or kept as
+        a border; a letter repeated across a dropped gap may be dropped too. The
+        state is the last two letters, (0, 0) after a border, so the search is
+        exact for the triple model.
         """
         states = {(0, 0): (0.0, "")}
-        for sign, group in groupby(word):
+        before = gap = ""
+
+        def put(following, state, cost, text):
+            if state not in following or (cost, text) < following[state]:
+                following[state] = (cost, text)
+
+        for sign, group in groupby(word, lambda ch: ch if ch.isalnum() or ch in LEET else " "):
             n = len(list(group))
+            following: dict[tuple[int, int], tuple[float, str]] = {}
+            if not sign.isalnum():
+                price = SIGN_BORDER_COST if sign in LEET else 0.0
+                for (a, b), (cost, text) in states.items():
+                    put(following, (0, 0), cost + price + (self.cost(a, b, 0) if b else 0.0), text + " ")
+            if sign == " ":
+                for state, (cost, text) in states.items():
+                    put(following, state, cost, text)
+                states, gap = following, sign
+                continue
             readings = [(c, SIGN_COST) for c in LEET.get(sign, "")] + [(sign, KEPT_SIGN_COST if sign in LEET else 0.0)]
             lengths = sorted({1, min(2, n), n} if n > 1 else {1})
-            following: dict[tuple[int, int], tuple[float, str]] = {}
             for (a0, b0), (cost0, text0) in states.items():
+                if gap and sign == before and b0:
+                    put(following, (a0, b0), cost0 + REPEAT_COST, text0)
                 for letter, price in readings:
                     c = ord(letter)
                     for length in lengths:
@@ -121,20 +146,19 @@ class Decoder:
                         for _ in range(length):
                             cost += self.cost(a, b, c)
                             a, b = b, c
-                        if (a, b) not in following or (cost, text0 + letter * length) < following[a, b]:
-                            following[a, b] = (cost, text0 + letter * length)
-            states = following
-        return min((cost + self.cost(a, b, 0), text) for (a, b), (cost, text) in states.items())[1]
+                        put(following, (a, b), cost, text0 + letter * length)
+            states, before, gap = following, sign, ""
+        return min((cost + (self.cost(a, b, 0) if b else 0.0), text) for (a, b), (cost, text) in states.items())[1].strip()
 
 
 def disguised(token: str) -> bool:
-    """Letters mixed with signs that can stand for letters, letters with joiners between all, or a run of three."""
+    """Letters mixed with signs that can stand for letters or with gaps, or with a run of two."""
     letters = sum(ch.isalpha() for ch in token)
     if not letters:
         return False
     if any(ch in LEET for ch in token):
         return True
-    return bool(RUN.search(token))
+    return bool(RUN.search(token) or GAPS.search(token))
 
 
 class Words(dict):
@@ -154,25 +178,26 @@ class Words(dict):
     def _readings(self, token: str) -> tuple[str, ...]:
         plain = [w.decode("utf-8", "replace") for w in token.encode("utf-8", "replace").translate(ALNUM_TABLE).split()]
         core = EDGES.sub("", token).lower()
-        if core and JOINERS.search(core):
-            parts = [p for p in JOINERS.split(core) if p]
-            core = "".join(parts) if len(parts) > 2 and all(len(p) == 1 for p in parts) else ""
-            plain += [core] * bool(core)
-        for word in {core, *plain} if not JOINERS.search(core or "") else set(plain):
-            if word and disguised(word):
-                plain.append(self.decoder.decode(word))
+        parts = [p for p in GAPS.split(core) if p]
+        if len(parts) > 2 and all(len(p) == 1 for p in parts):
+            parts = ["".join(parts)]
+            plain += parts
+        for word in dict.fromkeys([core, *parts, *plain]):
+            if disguised(word):
+                plain += self.decoder.decode(word).split()
         return tuple(dict.fromkeys(plain))
 
 
+def spaced(text: str) -> list[str]:
+    """Runs of spaced-out letters and signs, with their gaps."""
+    return [m[0] for m in SPACED.finditer(text) if any(ch.isalpha() for ch in m[0])]
+
+
 def restored(text: str, words: Words) -> set[str]:
-    """Distinct words of a text after restoration; spaced-out letters are joined first."""
+    """Distinct words of a text after restoration; of spaced-out letters the decoder chooses which belong together."""
     found: set[str] = set()
-    for token in set(text.split()):
+    for token in [*set(text.split()), *spaced(text)]:
         found.update(words[token])
-    for match in SPACED.finditer(text):
-        joined = "".join(ch for ch in match[0] if ch.isalnum())
-        if any(ch.isalpha() for ch in joined):
-            found.update(words[joined])
     return found
 
 
@@ -285,10 +310,8 @@ def _scorer(handle, prior: float):
                     hit = weighed(token)
                 if hit:
                     found.update(hit)
-            for match in SPACED.finditer(text):
-                joined = "".join(ch for ch in match[0] if ch.isalnum())
-                if any(ch.isalpha() for ch in joined):
-                    found.update(weighed(joined))
+            for run in spaced(text):
+                found.update(weighed(run))
             return sum(found.values())
 
         def scores(texts) -> np.ndarray:

@@ -223,6 +223,18 @@ def test_disguised_words_are_restored():
     assert "idiot" in toxicity.restored("an i d i o t here", words)
 
 
+def test_gaps_signs_and_short_runs_are_part_of_the_search():
+    rng = random.Random(4)
+    plain = " ".join(rng.choice(["you", "are", "a", "an", "idiot", "moron", "the", "clown", "stupid", "good", "cool", "go"]) for _ in range(4000))
+    words = toxicity.Words(toxicity.letter_counts(plain).astype("float32"))
+    cases = [("s t u p i d.", "stupid"), ("i d i o t, go", "idiot"), ("a s t u p i d", "stupid"), ("i d i o t s t u p i d", "idiot stupid"),
+             ("a $ t u p i d", "stupid"), ("s t u p ! d", "stupid"), ("(s t u p i d !)", "stupid"), ("s t u u p i d", "stupid"), ("stuupid", "stupid"),
+             ("iidiot", "idiot"), ("id!ot,moron", "idiot moron"), ("you-$tupid", "you stupid"), ("st-upid", "stupid"), ("good", "good")]
+    for line, expected in cases:
+        assert set(expected.split()) <= toxicity.restored(line, words), line
+    assert words.decoder.decode("you.are,a-m0ron") == "you are a moron"
+
+
 def test_toxic_words_are_learned_from_the_training_fold(spark):
     rng = random.Random(6)
     rows = [(i, text(rng, 30) + (" vile" + rng.choice(WORDS) if i % 3 == 0 else "")) for i in range(300)] + [(900, None), (None, "")]
