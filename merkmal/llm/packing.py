@@ -11,8 +11,6 @@ from merkmal.session import cut_lineage
 
 BUCKETS = 16
 BATCH_TOKENS = 65_536
-EXACT_LENGTH = 512
-STEPS = 64
 CELLS = 512
 
 
@@ -36,38 +34,34 @@ def with_token_count(docs: DataFrame, column: str) -> DataFrame:
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(column, T.LongType())]))
 
 
-def rounded_length(n: Column, exact: int = EXACT_LENGTH, steps: int = STEPS) -> Column:
-    """Lengths up to ``exact`` as they are, longer ones rounded up to ``steps`` sizes per doubling.
-
-    Keeps the histogram at ``exact + steps`` lines per doubling, whatever the corpus; candidate
-    boundaries are these lengths, so rounding never cuts a text.
-    """
-    unit = F.pow(F.lit(2.0), F.floor(F.log2(F.greatest(n - 1, F.lit(1)).cast("double")))) / F.lit(steps)
-    unit = F.greatest(unit, F.lit(1.0)).cast("long")
-    return F.when(n <= exact, n).otherwise(F.ceil(n / unit) * unit).cast("long")
-
-
 def best_boundaries(lengths: list[int], counts: list[int], tokens: list[int], buckets: int) -> list[int]:
     """Upper bounds of at most ``buckets`` buckets with the least padding over the histogram.
 
     cost(i, j) = lengths[j] * rows(i..j) - tokens(i..j); best[k][j] = min_i best[k-1][i] + cost(i+1, j).
+    The best i never falls as j grows, so each bucket is solved by halving: n log n steps, in whole numbers.
     """
     n = len(lengths)
     if n == 0:
         return []
-    length = np.array(lengths, dtype=np.float64)
-    rows = np.concatenate([[0.0], np.cumsum(np.array(counts, dtype=np.float64))])
-    held = np.concatenate([[0.0], np.cumsum(np.array(tokens, dtype=np.float64))])
-    best = np.full(n + 1, np.inf)
-    best[0] = 0.0
-    choices = []
-    for _ in range(min(buckets, n)):
-        nxt, choice = np.full(n + 1, np.inf), np.zeros(n + 1, dtype=np.int64)
-        nxt[0] = 0.0
-        for j in range(1, n + 1):
-            cost = best[:j] + length[j - 1] * (rows[j] - rows[:j]) - (held[j] - held[:j])
-            choice[j] = int(np.argmin(cost))
-            nxt[j] = cost[choice[j]]
+    length = np.array(lengths, dtype=np.int64)
+    rows = np.concatenate([[0], np.cumsum(np.array(counts, dtype=np.int64))])
+    held = np.concatenate([[0], np.cumsum(np.array(tokens, dtype=np.int64))])
+    best = np.concatenate([[0], length * rows[1:] - held[1:]])
+    choices = [np.zeros(n + 1, dtype=np.int64)]
+    for _ in range(min(buckets, n) - 1):
+        nxt, choice = np.zeros(n + 1, dtype=np.int64), np.zeros(n + 1, dtype=np.int64)
+        open_ = [(1, n, 0, n - 1)]
+        while open_:
+            first, last, low, high = open_.pop()
+            j = (first + last) // 2
+            end = min(high, j - 1) + 1
+            cost = best[low:end] + length[j - 1] * (rows[j] - rows[low:end]) - (held[j] - held[low:end])
+            choice[j] = low + int(np.argmin(cost))
+            nxt[j] = cost[choice[j] - low]
+            if first < j:
+                open_.append((first, j - 1, low, int(choice[j])))
+            if j < last:
+                open_.append((j + 1, last, int(choice[j]), high))
         choices.append(choice)
         best = nxt
     bounds, j = [], n
@@ -83,7 +77,7 @@ def pack(docs: DataFrame, length: Column, order: list[str], buckets: int = BUCKE
          cells: int = CELLS) -> DataFrame:
     """All rows with n_tokens, bucket, bucket_tokens, batch, slot and padding.
 
-    The histogram covers all rows. A batch holds rows of one bucket, at most
+    The histogram covers all rows and holds every length as it is. A batch holds rows of one bucket, at most
     ``budget // bucket_tokens`` of them and at least one, so only a single row
     longer than the budget exceeds it. Inside a bucket rows are ordered by hash
     cell, then ``order``; ranks run in ``buckets * cells`` cells, never in a whole bucket.
@@ -91,11 +85,9 @@ def pack(docs: DataFrame, length: Column, order: list[str], buckets: int = BUCKE
     names = ["n_tokens", "bucket", "bucket_tokens", "batch", "slot", "padding"]
     docs = docs.drop(*[n for n in names if n in docs.columns])
     counted = docs.withColumn("n_tokens", length)
-    histogram = (
-        counted.groupBy(rounded_length(F.col("n_tokens")).alias("length"))
-        .agg(F.count("*").alias("n"), F.sum("n_tokens").alias("tokens")).orderBy("length").collect()
-    )  # bounded by rounded_length
-    bounds = best_boundaries([r["length"] for r in histogram], [r["n"] for r in histogram], [r["tokens"] for r in histogram], buckets)
+    histogram = counted.groupBy("n_tokens").agg(F.count("*").alias("n")).toArrow().sort_by("n_tokens")  # a line per distinct length
+    lengths, counts = (histogram.column(c).to_numpy() for c in ("n_tokens", "n"))
+    bounds = best_boundaries(lengths, counts, lengths * counts, buckets)
     bounds = bounds or [0]
     limits = F.array(*[F.lit(b).cast("long") for b in bounds])
     bucket = F.size(F.filter(limits, lambda b: b < F.col("n_tokens")))

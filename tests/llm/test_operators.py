@@ -80,6 +80,24 @@ def test_boundaries_have_least_padding():
         assert cost(packing.best_boundaries(lengths, counts, tokens, 3)) <= best
 
 
+def test_long_lengths_have_least_padding_too(spark):
+    rng = random.Random(2)
+    for size, buckets in [(1, 4), (3, 16), (60, 5), (200, 16)]:
+        lengths = sorted(rng.sample(range(1, 20_000), size))
+        counts = [rng.randint(1, 50) for _ in lengths]
+        least = {0: 0}  # of the lengths before, by their number
+        for _ in range(buckets):
+            least = {j: min(p + sum((lengths[j - 1] - lengths[m]) * counts[m] for m in range(i, j)) for i, p in least.items() if i <= j) if j else 0
+                     for j in range(size + 1)} if size < 100 else {}
+        bounds = packing.best_boundaries(lengths, counts, [n * c for n, c in zip(lengths, counts)], buckets)
+        assert len(bounds) <= buckets and bounds[-1] == lengths[-1]
+        if least:
+            assert sum((min(b for b in bounds if b >= n) - n) * c for n, c in zip(lengths, counts)) == least[size]
+    rows = spark.range(40).select(F.when(F.col("id") < 30, 1001).otherwise(F.col("id") + 5000).cast("long").alias("n"), F.col("id").alias("doc_id"))
+    out = packing.pack(rows, F.col("n"), ["doc_id"], buckets=11).collect()
+    assert len(out) == 40 and all(r["padding"] == 0 and r["bucket_tokens"] == r["n"] for r in out)
+
+
 def test_batches_keep_the_budget(frame, docs):
     out = packing.pack(packing.with_token_count(frame, "_n"), F.col("_n"), ["doc_id", "text"], buckets=3, budget=300, cells=4).collect()
     assert len(out) == len(docs)
