@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from merkmal.llm.common import read_table
@@ -10,7 +11,29 @@ from merkmal.llm.packing import pack, with_token_count
 from merkmal.llm.shingle_join import linked_components
 from merkmal.llm.substrings import without_repeats
 from merkmal.llm.toxicity import not_toxic
-from merkmal.session import scratch_path
+from merkmal.session import cut_lineage, scratch_path
+
+ROW = "_row"
+FILE_BITS = 36
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number of its own per row, the same whenever the table is read.
+
+    Of stored tables it is the place in the file, with the number of the file from a checkpoint, so texts are not written again; other tables are checkpointed whole.
+    """
+    try:
+        placed = docs.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_place"))
+    except AnalysisException:
+        return cut_lineage(docs.withColumn(ROW, F.monotonically_increasing_id()))
+    files = placed.select("_path").distinct().coalesce(1)  # a line per file
+    files = cut_lineage(files.select("_path", F.monotonically_increasing_id().alias("_file")))
+    number = F.shiftleft("_file", FILE_BITS) + F.col("_place")
+    return placed.join(F.broadcast(files), "_path").select(*docs.columns, number.alias(ROW))
+
+
+def _as_documents(rows: DataFrame) -> DataFrame:
+    return rows.select(F.col(ROW).alias("doc_id"), "text")
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,9 +42,17 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near copies the document with the smallest id; rows without id stay."""
-    gone = linked_components(docs).filter("doc_id <> component_id").select(F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id"))
-    return docs.join(gone.distinct(), "doc_id", "left_anti").select(*docs.columns)
+    """Of each component of near copies the row with the smallest id, rows without id last; the first of equal rows.
+
+    Every row is a document of its own here, whatever its id. Rows without words stay.
+    """
+    rows = numbered(docs)
+    parts = linked_components(_as_documents(rows)).select(F.col("doc_id").alias(ROW), "component_id")
+    copies = cut_lineage(parts.filter(f"{ROW} <> component_id"))
+    groups = copies.union(copies.select(F.col("component_id").alias(ROW), "component_id").distinct()).join(rows.select(ROW, "doc_id"), ROW)
+    first = groups.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", ROW))[ROW].alias(ROW))
+    gone = groups.select(ROW).join(first, ROW, "left_anti")
+    return rows.join(gone, ROW, "left_anti").select(*docs.columns)
 
 
 def repeated_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,9 +70,10 @@ def repeated_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no window of a benchmark item."""
-    hit = contamination(docs, read_table(spark, sf_dir, "benchmark")).filter("contaminated").select("doc_id")
-    return docs.join(hit.distinct(), "doc_id", "left_anti").select(*docs.columns)
+    """Rows that hold no window of a benchmark item, each judged by its own text."""
+    rows = numbered(docs)
+    hit = contamination(_as_documents(rows), read_table(spark, sf_dir, "benchmark")).filter("contaminated").select(F.col("doc_id").alias(ROW))
+    return rows.join(hit, ROW, "left_anti").select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
