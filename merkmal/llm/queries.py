@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from merkmal.llm.decontaminate import op3_decontaminate
+from merkmal.llm.divergence import OP11_SQL, op11_divergence
 from merkmal.llm.html_text import op9_html_text
 from merkmal.llm.licenses import op5_licenses
 from merkmal.llm.near_vectors import op10_near_vectors
@@ -24,8 +25,10 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_html_text": op9_html_text,
     "op10_near_vectors": op10_near_vectors,
+    "op11_divergence": op11_divergence,
 }
 
 ORACLES: dict[str, str] = {
     "op6_warc": OP6_SQL,
+    "op11_divergence": OP11_SQL,
 }
