@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from merkmal.llm.codes import OP12_SQL, op12_codes
 from merkmal.llm.decontaminate import op3_decontaminate
 from merkmal.llm.divergence import OP11_SQL, op11_divergence
 from merkmal.llm.html_text import op9_html_text
@@ -26,9 +27,11 @@ QUERIES = {
     "op9_html_text": op9_html_text,
     "op10_near_vectors": op10_near_vectors,
     "op11_divergence": op11_divergence,
+    "op12_codes": op12_codes,
 }
 
 ORACLES: dict[str, str] = {
     "op6_warc": OP6_SQL,
     "op11_divergence": OP11_SQL,
+    "op12_codes": OP12_SQL,
 }
