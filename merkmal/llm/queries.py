@@ -9,6 +9,7 @@ from merkmal.llm.html_text import op9_html_text
 from merkmal.llm.licenses import op5_licenses
 from merkmal.llm.near_vectors import op10_near_vectors
 from merkmal.llm.packing import op1_packing
+from merkmal.llm.private import op13_private
 from merkmal.llm.sharding import op8_sharding
 from merkmal.llm.shingle_join import op7_shingle_join
 from merkmal.llm.substrings import op4_substrings
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_near_vectors": op10_near_vectors,
     "op11_divergence": op11_divergence,
     "op12_codes": op12_codes,
+    "op13_private": op13_private,
 }
 
 ORACLES: dict[str, str] = {
