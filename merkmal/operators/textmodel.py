@@ -19,14 +19,14 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from merkmal.functions.text import char_terms, piped_text, plain_text, word_terms
-from merkmal.operators.scale import group_tasks, sharded, top_per_group
+from merkmal.operators.scale import group_tasks, top_per_group
 from merkmal.session import cut_lineage
 
 MIN_ROWS, MIN_CLASSES, MAX_CLASSES, MAX_TERMS = 30, 2, 1000, 5000
-MAX_FIT_ROWS, ROWS_PER_SHARD = 20_000, 20_000
+MAX_FIT_ROWS = 20_000
 MODEL_SCHEMA = "model string, form string, feature_name string, term string, idf double, weights array<double>, classes array<string>"
 
 TERMS = {"word": word_terms, "char": char_terms}
@@ -142,40 +142,9 @@ def fit_shard(rows: list, labels: np.ndarray, class_weight: np.ndarray, weights:
     weights *= factor
 
 
-def read_model(pdf: pd.DataFrame):
-    """Index, idf, weight matrix (term x class), intercepts and classes."""
-    head = pdf[pdf["term"].isna()].iloc[0]
-    terms = pdf[pdf["term"].notna()].sort_values("term")
-    index = {t: i for i, t in enumerate(terms["term"])}
-    matrix = np.array(terms["weights"].tolist(), dtype=float).reshape(len(terms), len(head["classes"]))
-    return index, terms["idf"].to_numpy(float), matrix, np.array(head["weights"], dtype=float), list(head["classes"])
-
-
-def probabilities(margins: np.ndarray) -> np.ndarray:
-    """Clipped margins mapped to [0, 1] and normalised over the classes."""
-    if len(margins) == 1:
-        p = (np.clip(margins[0], -1, 1) + 1) / 2
-        return np.array([1 - p, p])
-    p = (np.clip(margins, -1, 1) + 1) / 2
-    return p / p.sum() if p.sum() > 0 else np.full(len(p), 1 / len(p))
-
-
 # ---- fit --------------------------------------------------------------------------
 
 
-def _copies(model: DataFrame, sharded: DataFrame) -> DataFrame:
-    """One copy of a feature's model rows per shard of that feature.
-
-    Columns are aliased so that a model learned from the same rows does not share
-    column identities with them in the cogroup.
-    """
-    counts = sharded.groupBy("feature_name").agg(F.max("n_shards").alias("n_shards"))
-    spread = F.explode(F.sequence(F.lit(0), (F.col("n_shards") - 1).cast("int"))).alias("shard")
-    return model.join(counts, "feature_name").select(
-        *[F.col(c).alias(c) for c in model.columns], spread
-    )
-
-
 def fit(labelled: DataFrame, kind: str = "word", text: str = "plain", description_chars: int | None = None,
         min_rows: int = MIN_ROWS, max_classes: int = MAX_CLASSES, max_terms: int = MAX_TERMS, epochs: int = 100,
         seed: int = 42, max_fit_rows: int = MAX_FIT_ROWS) -> DataFrame:
@@ -243,14 +212,73 @@ def _descend(rows: DataFrame, state: DataFrame, kind: str, epochs: int, seed: in
 # ---- score ------------------------------------------------------------------------
 
 
+def weight_rows(model: DataFrame) -> DataFrame:
+    """``(model, feature_name, term, idf, cls, w)``: one row per term and class that the margin uses.
+
+    Two classes share one margin, that of the second class, so only its weights are rows.
+    """
+    sizes = model.filter(F.col("term").isNull()).select("model", "feature_name", F.size("classes").alias("k"))
+    terms = model.filter(F.col("term").isNotNull()).join(sizes, ["model", "feature_name"])
+    spread = terms.select("model", "feature_name", "term", "idf", "k", F.posexplode("weights").alias("cls", "w"))
+    return spread.filter((F.col("k") != 2) | (F.col("cls") == 1)).drop("k")
+
+
+def class_rows(model: DataFrame) -> DataFrame:
+    """``(model, feature_name, cls, name, bias, k)``: every class of a feature's model with its intercept."""
+    heads = model.filter(F.col("term").isNull())
+    return heads.select(
+        "model", "feature_name", F.size("classes").alias("k"),
+        F.posexplode(F.arrays_zip(F.col("classes").alias("name"), F.col("weights").alias("bias"))).alias("cls", "c"),
+    ).select("model", "feature_name", "cls", F.col("c.name").alias("name"), F.col("c.bias").alias("bias"), "k")
+
+
+def _best_class(keys: DataFrame, texts: DataFrame, weights: DataFrame, classes: DataFrame, kind: str) -> DataFrame:
+    """``(uid, feature_name, <kind>_value, <kind>_confidence)`` of every key that has a ``kind`` model."""
+    terms = texts.select("uid", "feature_name", F.explode(TERMS[kind](F.col("text"))).alias("term"))
+    tf = terms.groupBy("uid", "feature_name", "term").agg(F.count("*").alias("tf"))
+    known = weights.filter(F.col("model") == kind).select("feature_name", "term", "idf", "cls", "w")
+    idf = known.select("feature_name", "term", "idf").distinct()
+    raw = tf.join(idf, ["feature_name", "term"]).withColumn("raw", (1 + F.log("tf")) * F.col("idf"))
+    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("uid", "feature_name")))
+    value = raw.select("uid", "feature_name", "term", (F.col("raw") / norm).alias("value"))
+    touched = value.join(known.drop("idf"), ["feature_name", "term"]).groupBy("uid", "feature_name", "cls").agg(
+        F.sum(F.col("value") * F.col("w")).alias("s")
+    )
+    mine = classes.filter(F.col("model") == kind).drop("model")
+    grid = keys.join(mine, "feature_name").join(touched, ["uid", "feature_name", "cls"], "left")
+    margin = F.col("bias") + F.coalesce(F.col("s"), F.lit(0.0))
+    half = (F.least(F.greatest(margin, F.lit(-1.0)), F.lit(1.0)) + 1) / 2
+    one = F.max(F.when(F.col("cls") == 1, half)).over(Window.partitionBy("uid", "feature_name"))
+    total = F.sum(half).over(Window.partitionBy("uid", "feature_name"))
+    p = F.when(F.col("k") == 2, F.when(F.col("cls") == 1, one).otherwise(1 - one)).otherwise(
+        F.when(total > 0, half / total).otherwise(1 / F.col("k"))
+    )
+    allowed = (F.size("allowed") == 0) | F.array_contains("allowed", F.col("name"))
+    chances = grid.withColumn("p", p).filter(allowed)
+    best = chances.groupBy("uid", "feature_name").agg(
+        F.max_by(F.struct("name", "p"), F.struct(F.col("p"), -F.col("cls"))).alias("top")
+    )
+    won = F.col("top.p") > 0
+    return best.select(
+        "uid", "feature_name",
+        F.when(won, F.col("top.name")).alias(f"{kind}_value"),
+        F.when(won, F.col("top.p")).otherwise(F.lit(0.0)).alias(f"{kind}_confidence"),
+    )
+
+
 def score(rows: DataFrame, model: DataFrame, text: dict[str, str] | None = None, description_chars: int | None = None,
-          rows_per_shard: int = ROWS_PER_SHARD, slots: DataFrame | None = None) -> DataFrame:
-    """Best class per row and model: ``<model>_value`` and ``<model>_confidence``.
+          slots: DataFrame | None = None) -> DataFrame:
+    """Best class per row and model: ``<model>_value`` and ``<model>_confidence``, as joins and aggregates.
 
     ``rows`` carry uid, feature_name, category, title, description and ``allowed``
-    (empty: every class may win). A class wins only with a probability over zero.
-    Rows of features without a model are not returned. Both models are scored in
-    one pass over one shuffle of the texts.
+    (empty: every class may win). A class wins only with a probability over zero; rows
+    whose allowed values the model doesn't know get no value and confidence 0. Rows of
+    features without a model are not returned; a feature without a model of one kind
+    gets no value and confidence 0 from it. Terms of a text meet the weight rows
+    ``(model, feature, term, class, w)`` in an equi-join, margins are sums per
+    (row, class), and the top class (ties to the first class) comes from ``max_by``.
+    Rows are keyed by (uid, feature_name): repeated keys with different texts are scored
+    on the smallest (texts, allowed) and every input row gets that result.
     """
     stored = {r["model"]: r["form"] for r in model.select("model", "form").distinct().collect()}  # one row per model
     kinds = text or {"word": "plain", "char": "plain"} | stored
@@ -259,35 +287,18 @@ def score(rows: DataFrame, model: DataFrame, text: dict[str, str] | None = None,
         "uid", "feature_name", "category", "allowed",
         *[TEXTS[t](description_chars).alias(f"text_{k}") for k, t in kinds.items()],
     )
-    spread = sharded(ready, ["feature_name"], ["uid"], rows_per_shard)
-
-    def run(key, data: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
-        out = data[["uid", "feature_name", "category"]].copy()
-        for kind in kinds:
-            mine = state[state["model"] == kind]
-            best = [(None, 0.0)] * len(data)
-            if len(mine) and len(data):
-                index, idf, matrix, bias, classes = read_model(mine)
-                if len(classes) == 2:
-                    matrix, bias = matrix[:, 1:], bias[1:]
-                number = {c: i for i, c in enumerate(classes)}
-                best = []
-                for words, allowed in zip(data[f"text_{kind}"], data["allowed"]):
-                    at, value = sparse_row(words, kind, index, idf)
-                    p = probabilities(value @ matrix[at] + bias)
-                    options = sorted(number[a] for a in allowed if a in number) if len(allowed) else range(len(classes))
-                    top = max(options, key=lambda c: p[c], default=None)
-                    best.append((classes[top], float(p[top])) if top is not None and p[top] > 0 else (None, 0.0))
-            out[f"{kind}_value"] = [b[0] for b in best]
-            out[f"{kind}_confidence"] = [b[1] for b in best]
-        return out
-
-    schema = f"uid {rows.schema['uid'].dataType.simpleString()}, feature_name string, category string" + "".join(
-        f", {k}_value string, {k}_confidence double" for k in kinds
-    )
-    keys = ["feature_name", "shard"]
-    states = group_tasks(_copies(model, spread), keys)
-    return group_tasks(spread, keys).groupBy(*keys).cogroup(states.groupBy(*keys)).applyInPandas(run, schema)
+    ready = cut_lineage(ready)
+    first = ready.groupBy("uid", "feature_name").agg(
+        F.min(F.struct(*[F.col(f"text_{k}") for k in kinds], "allowed")).alias("t")
+    ).select("uid", "feature_name", "t.*")
+    keys = first.select("uid", "feature_name", "allowed")
+    weights, classes = weight_rows(model), class_rows(model)
+    out = ready.select("uid", "feature_name", "category")
+    for kind in kinds:
+        texts = first.select("uid", "feature_name", F.col(f"text_{kind}").alias("text"))
+        best = _best_class(keys, texts, weights, classes, kind)
+        out = out.join(best, ["uid", "feature_name"], "left").fillna({f"{kind}_confidence": 0.0})
+    return out
 
 
 def ensemble_choice(scored: DataFrame) -> DataFrame:

@@ -74,7 +74,7 @@ def test_fit_learns_and_repeats_on_bounded_rows(spark):
     labelled = labelled_frame(spark, colours("Farbe", 240))
     for bound in (1000, 60):
         model = T.fit(labelled, "word", epochs=12, max_fit_rows=bound)
-        scored = T.score(labelled.withColumn("allowed", F.array().cast("array<string>")), model, {"word": "plain"}, rows_per_shard=50)
+        scored = T.score(labelled.withColumn("allowed", F.array().cast("array<string>")), model, {"word": "plain"})
         joined = scored.join(labelled.select("uid", "feature_value"), "uid")
         assert joined.agg(F.avg(is_correct("word_value"))).first()[0] > 0.99
     assert weights_of(model, "Farbe") == weights_of(T.fit(labelled.repartition(7), "word", epochs=12, max_fit_rows=60), "Farbe")
