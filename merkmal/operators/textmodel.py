@@ -209,6 +209,88 @@ def _descend(rows: DataFrame, state: DataFrame, kind: str, epochs: int, seed: in
     )
 
 
+def _huber_slope(z: Column) -> Column:
+    """Derivative of the modified Huber loss: -4 below -1, -2(1 - z) up to 1, 0 beyond."""
+    return F.when(z < -1, F.lit(-4.0)).when(z < 1, -2 * (1 - z)).otherwise(F.lit(0.0))
+
+
+def fit_full(labelled: DataFrame, kind: str = "word", text: str = "plain", description_chars: int | None = None,
+             min_rows: int = MIN_ROWS, max_classes: int = MAX_CLASSES, max_terms: int = MAX_TERMS, epochs: int = 40,
+             rate: float = 1.0, alpha: float = 1e-4) -> DataFrame:
+    """Model table fitted on all rows by full-batch descent on the modified Huber loss, one against the rest.
+
+    The same loss, class balance and L2 shrinkage as ``fit``; but every epoch is a Spark job: margins are the
+    sparse join of tf-idf rows with weight rows ``(feature, term, class, w)`` summed per (row, class), the
+    gradient of a weight is an aggregate over the rows holding its term, and weights and intercepts are
+    checkpointed after each epoch. No task holds more than one row's terms, so a feature of any size is fitted
+    on all its rows. Two classes share one margin (the second class's); the first class's weights stay 0.
+    """
+    gate = training_gate(labelled, min_rows, max_classes)
+    documents = cut_lineage(labelled.join(gate.select("feature_name"), "feature_name", "left_semi").select(
+        "uid", "feature_name", "feature_value", TEXTS[text](description_chars).alias("text")
+    ))
+    vocab = cut_lineage(vocabulary(documents, kind, max_terms))
+    counts = documents.groupBy("feature_name", "feature_value").agg(F.count("*").alias("n"))
+    sizes = counts.groupBy("feature_name").agg(
+        F.array_sort(F.collect_list(F.struct(F.col("feature_value").alias("value"), "n"))).alias("c"),
+        F.sum("n").alias("n_rows"),
+    ).select(
+        "feature_name", "n_rows", F.transform("c", lambda c: c["value"]).alias("classes"),
+        F.transform("c", lambda c: c["n"].cast("double")).alias("sizes"),
+    )  # at most max_classes entries, by the gate
+    sizes = cut_lineage(sizes)
+    values = cut_lineage(tfidf(documents, vocab, kind))
+    label = F.array_position("classes", F.col("feature_value")).cast("int") - 1
+    k = F.size("classes")
+    rows = documents.join(sizes, "feature_name").select("uid", "feature_name", "n_rows", "sizes", k.alias("k"), label.alias("label"))
+    margins = rows.select(
+        "*", F.explode(F.when(F.col("k") == 2, F.array(F.lit(1))).otherwise(F.sequence(F.lit(0), F.col("k") - 1))).alias("cls")
+    )
+    balance = F.aggregate("sizes", F.lit(0.0), lambda a, x: a + x) / (F.col("k") * F.get("sizes", F.col("label")))
+    hit = F.when(F.col("k") == 2, F.col("label") == 1).otherwise(F.col("label") == F.col("cls"))
+    targets = cut_lineage(margins.select(
+        "uid", "feature_name", "cls", "n_rows",
+        F.when(hit, 1.0).otherwise(-1.0).alias("sign"),
+        F.when((F.col("k") == 2) | hit, balance).otherwise(F.lit(1.0)).alias("cost"),
+    ))
+    grid = vocab.select("feature_name", "term").join(sizes.select("feature_name", "classes"), "feature_name")
+    weights = cut_lineage(grid.select(
+        "feature_name", "term", F.explode(F.sequence(F.lit(0), F.size("classes") - 1)).alias("cls"), F.lit(0.0).alias("w")
+    ))
+    bias = cut_lineage(sizes.select(
+        "feature_name", F.explode(F.sequence(F.lit(0), F.size("classes") - 1)).alias("cls"), F.lit(0.0).alias("b")
+    ))
+    for _ in range(epochs):
+        sums = values.join(weights, ["feature_name", "term"]).groupBy("uid", "feature_name", "cls").agg(
+            F.sum(F.col("tfidf") * F.col("w")).alias("s")
+        )
+        scored = targets.join(bias, ["feature_name", "cls"]).join(sums, ["uid", "feature_name", "cls"], "left")
+        z = F.col("sign") * (F.col("b") + F.coalesce("s", F.lit(0.0)))
+        coef = scored.select("uid", "feature_name", "cls", (F.col("sign") * _huber_slope(z) * F.col("cost") / F.col("n_rows")).alias("g"))
+        coef = cut_lineage(coef.filter(F.col("g") != 0))
+        grads = values.join(coef, ["uid", "feature_name"]).groupBy("feature_name", "term", "cls").agg(
+            F.sum(F.col("tfidf") * F.col("g")).alias("gw")
+        )
+        step_b = coef.groupBy("feature_name", "cls").agg(F.sum("g").alias("gb"))
+        weights = cut_lineage(weights.join(grads, ["feature_name", "term", "cls"], "left").select(
+            "feature_name", "term", "cls", (F.col("w") - rate * (F.coalesce("gw", F.lit(0.0)) + alpha * F.col("w"))).alias("w")
+        ))
+        bias = cut_lineage(bias.join(step_b, ["feature_name", "cls"], "left").select(
+            "feature_name", "cls", (F.col("b") - rate * F.coalesce("gb", F.lit(0.0))).alias("b")
+        ))
+    by_term = weights.groupBy("feature_name", "term").agg(F.array_sort(F.collect_list(F.struct("cls", "w"))).alias("cw"))
+    terms = by_term.join(vocab.select("feature_name", "term", "idf"), ["feature_name", "term"]).select(
+        "feature_name", "term", "idf", F.transform("cw", lambda x: x["w"]).alias("weights"), F.lit(None).cast("array<string>").alias("classes")
+    )
+    heads = bias.groupBy("feature_name").agg(F.array_sort(F.collect_list(F.struct("cls", "b"))).alias("cb")).join(
+        sizes.select("feature_name", "classes"), "feature_name"
+    ).select(
+        "feature_name", F.lit(None).cast("string").alias("term"), F.lit(None).cast("double").alias("idf"),
+        F.transform("cb", lambda x: x["b"]).alias("weights"), "classes",
+    )
+    return terms.unionByName(heads).select(F.lit(kind).alias("model"), F.lit(text).alias("form"), "*")
+
+
 # ---- score ------------------------------------------------------------------------
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from merkmal.operators.complete import apply_fallbacks, validate
 from merkmal.operators.lookups import feature_mode, labelled_products, title_lookup
 from merkmal.operators.taxonomy import build_slots, with_slots
-from merkmal.operators.textmodel import apply_choice, ensemble_choice, fit, score
+from merkmal.operators.textmodel import apply_choice, ensemble_choice, fit, fit_full, score
 from merkmal.operators.vectors import semantic_layer
 from merkmal.operators.waterfall import needs_classifier, predict_by_rules
 from merkmal.session import cut_lineage
@@ -25,14 +25,20 @@ class Knowledge:
     model: DataFrame | None = None
 
 
-def learn(taxonomy: DataFrame, products: DataFrame, labels: DataFrame, models: bool = False, **fit_options) -> Knowledge:
-    """Slots, lookups and, when asked for, both text models from the training split."""
+def learn(taxonomy: DataFrame, products: DataFrame, labels: DataFrame, models: bool = False, solver: str = "rows",
+          **fit_options) -> Knowledge:
+    """Slots, lookups and, when asked for, both text models from the training split.
+
+    ``solver="rows"`` fits each feature in one task on at most ``max_fit_rows`` of its rows; ``"full"`` runs a
+    full-batch descent on all rows as Spark aggregates (``fit_full``).
+    """
     slots = cut_lineage(build_slots(taxonomy))
     lookup = title_lookup(labels, products)
     model = None
     if models:
         labelled = labelled_products(labels, products, ["category", "title", "description"])
-        model = cut_lineage(fit(labelled, "word", **fit_options).unionByName(fit(labelled, "char", **fit_options)))
+        method = {"rows": fit, "full": fit_full}[solver]
+        model = cut_lineage(method(labelled, "word", **fit_options).unionByName(method(labelled, "char", **fit_options)))
     return Knowledge(slots, lookup, feature_mode(labels), model)
 
 
