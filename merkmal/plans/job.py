@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from merkmal.operators.scoring import evaluate, submission_check
@@ -15,12 +14,9 @@ def stored_model(spark: SparkSession, path: str | None) -> DataFrame | None:
     """Model table below ``path``; None where nothing is stored, so that a run goes on without models."""
     if path is None:
         return None
-    try:
-        return catalog.read_model_table(spark, path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not catalog.committed_versions(spark, path):
         return None
+    return catalog.read_model_table(spark, path)
 
 
 def train(spark: SparkSession, root: str, model_path: str, **fit_options) -> None:

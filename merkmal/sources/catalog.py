@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 PRODUCTS = "uid bigint, category string, title string, description string"
@@ -80,14 +81,37 @@ def write_filled_template(template: DataFrame, predictions: DataFrame, path: str
     filled_template(template, predictions, order).orderBy(order).drop(order).write.mode("overwrite").parquet(path)
 
 
-def write_model(model: DataFrame, path: str) -> None:
-    model.write.mode("overwrite").partitionBy("model").parquet(path)
+def committed_versions(spark: SparkSession, path: str) -> list[int]:
+    """Versions of ``path`` whose pointer row was written; a failed write leaves none."""
+    try:
+        rows = spark.read.schema("version int").parquet(f"{path}/_committed").select("version").distinct().collect()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []  # nothing committed yet
+    return sorted(r["version"] for r in rows)
+
+
+def write_model(model: DataFrame, path: str) -> int:
+    """Write the model as a new version beside the old ones, then commit it by a one-row pointer.
+
+    Readers take the newest committed version, so a job lost while writing leaves the last model readable;
+    the half-written folder of the lost version is never read and is overwritten by the next attempt.
+    """
+    spark = model.sparkSession
+    version = max(committed_versions(spark, path), default=0) + 1
+    model.write.mode("overwrite").partitionBy("model").parquet(f"{path}/version={version}")
+    spark.createDataFrame([(version,)], "version int").write.mode("overwrite").parquet(f"{path}/_committed/version={version}")
+    return version
 
 
 def read_model_table(spark: SparkSession, path: str) -> DataFrame:
     from merkmal.operators.textmodel import MODEL_SCHEMA
 
     names = [part.split()[0] for part in MODEL_SCHEMA.split(", ")]
-    return spark.read.schema(MODEL_SCHEMA).parquet(path).select(*names)
+    versions = committed_versions(spark, path)
+    if not versions:
+        raise FileNotFoundError(f"no committed model below {path}")
+    return spark.read.schema(MODEL_SCHEMA).parquet(f"{path}/version={versions[-1]}").select(*names)
 
 
