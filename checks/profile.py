@@ -69,7 +69,20 @@ _BINS = """SELECT CAST(least(floor((n - low) / CASE WHEN high > low THEN (high -
     FROM sizes, (SELECT min(n) AS low, max(n) AS high FROM sizes) GROUP BY 1"""
 _COUNTS = r"SELECT category, feature_name, len(regexp_extract_all(coalesce(aggregated_feature_values, ''), '''\[.*?\]''')) AS n FROM taxonomy WHERE feature_type = 'categorical'"
 
+# Columns and Spark types of the relations above, as they are derived.
+COLUMNS = {
+    "products": [("uid", "bigint"), ("category", "string"), ("title", "string"), ("description", "string")],
+    "labels": [("uid", "bigint"), ("feature_name", "string"), ("feature_value", "string"), ("feature_type", "string"), ("split", "string")],
+    "template": [("uid", "bigint"), ("feature_name", "string"), ("feature_value", "string"), ("feature_type", "string"), ("template_pos", "bigint")],
+    "taxonomy": [("category", "string"), ("feature_name", "string"), ("feature_type", "string"), ("aggregated_feature_values", "string"), ("row_pos", "bigint")],
+    "order_catalog": [("uid", "bigint"), ("category", "string"), ("title", "string"), ("description", "string")],
+    "document_catalog": [("uid", "bigint"), ("category", "string"), ("title", "string"), ("description", "string")],
+}
+
 PAIRS = {
+    "column_types": (lambda s, d: P.column_types(tables(s, d)), with_relations(" UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, '{k}' AS data_type, count({c}) AS n_values FROM {t}"
+        for t, columns in COLUMNS.items() for c, k in columns), *COLUMNS)),
     "table_overview": (lambda s, d: P.table_overview(tables(s, d)), with_relations(" UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS n_rows, CAST({c} AS BIGINT) AS n_columns FROM {t}"
         for t, c in (("products", 4), ("labels", 5), ("template", 5), ("taxonomy", 5), ("order_catalog", 4), ("document_catalog", 4))),
