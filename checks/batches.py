@@ -29,7 +29,7 @@ def product_batches(spark, sf):
 
 
 def prompts(spark, sf):
-    return B.prompts(batches(spark, sf), slots(spark, sf)).select("batch_id", "category", "n_products", "prompt")
+    return B.prompts(batches(spark, sf), slots(spark, sf)).select("batch_id", "category", "n_products", "instruction", "prompt")
 
 
 def replies(spark, sf):
@@ -90,7 +90,7 @@ PAIRS = {
     "batch_prompts": (prompts, sql(
         """SELECT batch_id, category, count(*) AS n_products, 'Category: ' || category || chr(10) || 'Features to extract:' || chr(10) || any_value(features) || chr(10) || chr(10) || 'Products:' || chr(10)
              || string_agg('  ' || idx || '. ' || coalesce(title, ''), chr(10) ORDER BY idx) || chr(10) || chr(10) || 'Return JSON array. Object keys = feature names. Example format:' || chr(10)
-             || '[{"feature1": "value1", "feature2": "value2"}, ...]' AS prompt
+             || '[{"feature1": "value1", "feature2": "value2"}, ...]' AS prompt, '""" + B.INSTRUCTION.replace("'", "''") + """' AS instruction
            FROM batched JOIN feature_line USING (category) GROUP BY batch_id, category""", "batched", "feature_line")),
     "parsed_replies": (parsed_replies, sql(
         "SELECT batch_id, CASE batch_id % 4 WHEN 2 THEN n - 1 WHEN 3 THEN NULL ELSE n END AS n_objects FROM reply", "reply")),

@@ -76,8 +76,20 @@ def feature_lines(slots: DataFrame) -> DataFrame:
     )
 
 
+# Fixed value: the instruction that goes beside every prompt.
+INSTRUCTION = """You extract product attributes from German product catalog titles.
+
+RULES:
+1. Output ONLY valid JSON — an array of objects, one per product.
+2. Each object has keys matching the requested feature names.
+3. For CATEGORICAL features: use ONLY values from the provided allowed list. If unsure, use null.
+4. For NUMERIC features: output as "number unit" (e.g. "125 mm", "0.5 l"). Match the unit shown in examples.
+5. If a feature cannot be determined from the title, use null.
+6. Never invent values. Never explain. JSON only."""
+
+
 def prompts(batches: DataFrame, slots: DataFrame) -> DataFrame:
-    """Prompt text per batch within the budget. A batch holds at most its size in
+    """Instruction and prompt text per batch within the budget. A batch holds at most its size in
     products, a category its taxonomy features; both lists are bounded."""
     joined = lambda order, line: F.array_join(
         F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), line.alias("l")))), lambda s: s["l"]), "\n"
@@ -95,7 +107,9 @@ def prompts(batches: DataFrame, slots: DataFrame) -> DataFrame:
         F.lit("\n\nReturn JSON array. Object keys = feature names. Example format:\n"
               '[{"feature1": "value1", "feature2": "value2"}, ...]'),
     )
-    return grouped.join(features, "category").select("batch_id", "category", "n_products", text.alias("prompt"))
+    return grouped.join(features, "category").select(
+        "batch_id", "category", "n_products", F.lit(INSTRUCTION).alias("instruction"), text.alias("prompt")
+    )
 
 
 def parse_reply(reply: Column) -> Column:
