@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from merkmal.operators.scale import global_rank, rank_within
+from merkmal.session import cut_lineage
 
 ESCALATION_RATE = 0.02
 BATCH_SIZE = 30
@@ -13,9 +14,16 @@ INPUT_USD, OUTPUT_USD = 0.80, 4.00  # per million tokens
 
 
 def hard_rows(rows: DataFrame, rate: float = ESCALATION_RATE) -> DataFrame:
-    """Open rows of lowest confidence, at most ``rate`` of all rows, with their rank."""
-    budget = rows.agg(F.floor(F.count("*") * F.lit(rate)).alias("n")).first()["n"]
-    ranked = global_rank(rows.filter("predicted_value is null"), ["confidence", "uid", "feature_name"], "hard_rank")
+    """``uid, feature_name, confidence, hard_rank`` of the open rows of lowest confidence, at most ``rate`` of all rows.
+
+    ``rows`` are computed once: their four narrow columns are written to the shared folder, and both the count
+    and the range-partitioned ranking read that copy, never the wide rows (join back by key where texts are needed).
+    """
+    narrow = cut_lineage(
+        rows.select("uid", "feature_name", "confidence", F.col("predicted_value").isNull().alias("open"))
+    )
+    budget = narrow.agg(F.floor(F.count("*") * F.lit(rate)).alias("n")).first()["n"]
+    ranked = global_rank(narrow.filter("open").drop("open"), ["confidence", "uid", "feature_name"], "hard_rank")
     return ranked.filter(F.col("hard_rank") <= budget)
 
 
