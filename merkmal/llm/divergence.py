@@ -13,9 +13,13 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from merkmal.llm.common import ascii_lower, read_table, split_words
+from merkmal.llm.common import _POWERS, _SPREAD, ascii_lower, mixed, read_table, small_batches, split_words
+from merkmal.session import cut_lineage
 
 # Fixed values of the contract.
 NOT_TERM = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
@@ -25,6 +29,9 @@ SCALE = 1_000_000_000
 
 #: candidate terms of one source per skyband cell, so no Python task holds a whole hot source
 CELL_TERMS = 20_000
+#: hash buckets of the document-frequency sketch per language, summed in chunks; the bitmap sent to tasks is
+#: languages x SKETCH bits (256 KB a language)
+SKETCH, CHUNK = 1 << 21, 1 << 16
 
 
 def terms(text: Column) -> Column:
@@ -44,28 +51,139 @@ def apart(p: str, q: str) -> Column:
     return F.expr(f"(({p} - {q}) * ({p} - {q})) div ({p} + {q})").cast("long")
 
 
+def _tokens(batch: pa.RecordBatch) -> pa.Table:
+    """``lang, source, term, row`` of every term occurrence of a batch; null lang, source and text read as ''."""
+    lang = pc.fill_null(batch.column("lang"), "")
+    source = pc.fill_null(batch.column("source"), "")
+    words = pc.split_pattern_regex(pc.ascii_lower(pc.fill_null(batch.column("text"), "")), NOT_TERM)
+    row = pc.list_parent_indices(words)
+    flat = pa.table({"lang": pc.take(lang, row), "source": pc.take(source, row), "term": pc.list_flatten(words), "row": row})
+    return flat.filter(pc.not_equal(flat["term"], ""))
+
+
+def _buckets(terms: pa.Array, size: int) -> np.ndarray:
+    """Bucket of every (non-empty) string, from a hash of its UTF-8 bytes computed on the Arrow buffers."""
+    terms = terms.cast(pa.large_string()) if not pa.types.is_large_string(terms.type) else terms
+    if not len(terms):
+        return np.empty(0, np.int64)
+    offsets = np.frombuffer(terms.buffers()[1], np.int64)[terms.offset : terms.offset + len(terms) + 1]
+    data = np.frombuffer(terms.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+    starts = offsets[:-1] - offsets[0]
+    place = np.arange(len(data)) - np.repeat(starts, np.diff(offsets))
+    summed = np.add.reduceat(_SPREAD[data] * _POWERS[place & 0xFFFF], starts)
+    return (mixed(summed) % np.uint64(size)).astype(np.int64)
+
+
+def sketch_counts(batches, size: int = SKETCH, rows: int = 500):
+    """Per task and language: documents per hash bucket of terms, as ``lang, chunk, counts`` (chunks of ``CHUNK``).
+
+    Counts are kept up to ``MIN_DOCS`` (more cannot change the decision), as bytes compressed with zstd, so a
+    task sends at most languages x ``size`` bytes before compression. A bucket's total over all tasks, so
+    capped, reaches ``MIN_DOCS`` whenever the document frequency of any term in it does.
+    """
+    held: dict[str, np.ndarray] = {}
+    for batch in small_batches(batches, rows):
+        flat = _tokens(batch)
+        if not flat.num_rows:
+            continue
+        per = flat.group_by(["lang", "term"]).aggregate([("row", "count_distinct")])
+        for lang in pc.unique(per["lang"]).to_pylist():
+            mine = per.filter(pc.equal(per["lang"], lang))
+            counts = held.setdefault(lang, np.zeros(size, np.int64))
+            np.add.at(counts, _buckets(mine["term"].combine_chunks(), size), mine["row_count_distinct"].to_numpy())
+    pack = zstandard.ZstdCompressor(level=1)
+    for lang, counts in held.items():
+        capped = np.minimum(counts, MIN_DOCS).astype(np.uint8).reshape(-1, CHUNK)
+        used = np.flatnonzero(capped.any(1))
+        if len(used):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(used)), pa.array(used, pa.int32()), pa.array([pack.compress(capped[c].tobytes()) for c in used], pa.binary())],
+                names=["lang", "chunk", "counts"],
+            )
+
+
+def frequent_buckets(docs: DataFrame, size: int = SKETCH) -> dict[str, np.ndarray]:
+    """Per language, a bitmap of the buckets whose document total reaches ``MIN_DOCS``; languages x ``size`` bits."""
+    partial = docs.select("lang", "source", "text").mapInArrow(
+        lambda b: sketch_counts(b, size), "lang string, chunk int, counts binary"
+    )
+
+    def add(frame: pd.DataFrame) -> pd.DataFrame:
+        unpack = zstandard.ZstdDecompressor()
+        total = np.zeros(CHUNK, np.int64)
+        for blob in frame["counts"]:
+            total += np.frombuffer(unpack.decompress(blob), np.uint8)
+        return pd.DataFrame({"lang": frame["lang"].iloc[:1], "chunk": frame["chunk"].iloc[:1], "bits": [np.packbits(total >= MIN_DOCS).tobytes()]})
+
+    summed = partial.groupBy("lang", "chunk").applyInPandas(add, "lang string, chunk int, bits binary")
+    out: dict[str, np.ndarray] = {}
+    for row in summed.collect():  # at most languages x size / CHUNK rows of CHUNK bits
+        bits = out.setdefault(row["lang"], np.zeros(size, bool))
+        bits[row["chunk"] * CHUNK : (row["chunk"] + 1) * CHUNK] = np.unpackbits(np.frombuffer(row["bits"], np.uint8)).astype(bool)
+    return out
+
+
+def batch_counts(batches, frequent: dict[str, np.ndarray], rows: int = 500, held_rows: int = 500_000):
+    """Per task: ``lang, source, term, count, n_docs`` of the terms whose bucket may be frequent.
+
+    Texts are taken ``rows`` at a time; partial counts are merged again whenever more than ``held_rows`` lines
+    are held, so memory stays bounded however long the texts and however many the terms.
+    """
+    held, size = [], 0
+
+    def merged(tables):
+        table = pa.concat_tables(tables)
+        summed = table.group_by(["lang", "source", "term"]).aggregate([("count", "sum"), ("n_docs", "sum")])
+        return summed.rename_columns(["lang", "source", "term", "count", "n_docs"]).cast(_COUNTS)
+
+    for batch in small_batches(batches, rows):
+        flat = _tokens(batch)
+        if not flat.num_rows:
+            continue
+        summed = flat.group_by(["lang", "source", "term"]).aggregate([("row", "count"), ("row", "count_distinct")])
+        summed = summed.rename_columns(["lang", "source", "term", "count", "n_docs"]).cast(_COUNTS)
+        keep = np.zeros(summed.num_rows, bool)
+        langs = summed["lang"].to_numpy(zero_copy_only=False)
+        buckets = _buckets(summed["term"].combine_chunks(), SKETCH)
+        for lang, bits in frequent.items():
+            mine = langs == lang
+            keep[mine] = bits[buckets[mine]]
+        summed = summed.filter(pa.array(keep))
+        if not summed.num_rows:
+            continue
+        held.append(summed)
+        size += summed.num_rows
+        if size > held_rows:
+            held = [merged(held)]
+            size = held[0].num_rows
+    if held:
+        yield from merged(held).to_batches(max_chunksize=100_000)
+
+
+_COUNTS = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("count", pa.int64()), ("n_docs", pa.int64())])
+
+
 def counted(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``groups (lang, source)``, ``kept (lang, term, lang_count)`` and ``held (lang, source, term, count)``.
 
     Null lang, source and text read as ''. A term is kept in a language when at least ``MIN_DOCS`` of its rows
-    hold it; ``held`` has only kept terms that occur in the source (count > 0).
+    hold it; ``held`` has only kept terms that occur in the source (count > 0). A first pass sums, per language,
+    documents per hash bucket of terms over all tasks; a term whose bucket holds fewer than ``MIN_DOCS`` documents
+    cannot be kept. The second pass splits texts again (Arrow compute inside tasks) and sends on partial counts of
+    the other terms only; Spark adds them up, the exact frequency decides, and ``held`` is written to the shared folder, so later parts read it instead of the texts.
     """
-    rows = docs.select(
-        F.coalesce(F.col("lang"), F.lit("")).alias("lang"),
-        F.coalesce(F.col("source"), F.lit("")).alias("source"),
-        terms(F.col("text")).alias("words"),
-    )
-    groups = rows.select("lang", "source").distinct()
-    in_docs = (
-        rows.select("lang", F.explode(F.array_distinct("words")).alias("term"))
-        .groupBy("lang", "term")
-        .agg(F.count("*").alias("n_docs"))
-        .filter(F.col("n_docs") >= MIN_DOCS)
+    lang = F.coalesce(F.col("lang"), F.lit("")).alias("lang")
+    source = F.coalesce(F.col("source"), F.lit("")).alias("source")
+    groups = cut_lineage(docs.select(lang, source).distinct())
+    frequent = frequent_buckets(docs)
+    partial = docs.select("lang", "source", "text").mapInArrow(
+        lambda b: batch_counts(b, frequent), "lang string, source string, term string, count long, n_docs long"
     )
-    per_source = rows.select("lang", "source", F.explode("words").alias("term")).groupBy("lang", "source", "term").agg(
-        F.count("*").alias("count")
+    per_source = cut_lineage(
+        partial.groupBy("lang", "source", "term").agg(F.sum("count").alias("count"), F.sum("n_docs").alias("n_docs"))
     )
-    held = per_source.join(in_docs.select("lang", "term"), ["lang", "term"], "left_semi")
+    in_docs = per_source.groupBy("lang", "term").agg(F.sum("n_docs").alias("n_docs")).filter(F.col("n_docs") >= MIN_DOCS)
+    held = per_source.join(in_docs.select("lang", "term"), ["lang", "term"], "left_semi").drop("n_docs")
     kept = held.groupBy("lang", "term").agg(F.sum("count").alias("lang_count"))
     return groups, kept, held
 
@@ -103,14 +221,16 @@ def scored(groups: DataFrame, kept: DataFrame, held: DataFrame) -> tuple[DataFra
         share("count", "total", "n_kept").alias("p"),
         share("lang_count", "lang_total", "n_kept").alias("q"),
     )
-    return sources.drop("total", "lang_total"), cells
+    return cut_lineage(sources.drop("total", "lang_total")), cells
 
 
-def local_skyband(frame: pd.DataFrame, k: int = TOP) -> pd.DataFrame:
+def local_skyband(frame: pd.DataFrame, k: int = TOP, block: int = 256) -> pd.DataFrame:
     """Rows of one cell that fewer than ``k`` others dominate (count >=, lang_count <=, term earlier in UTF-8).
 
     Rows are visited by count descending, lang_count ascending and term: only earlier rows can dominate a row,
-    and a row with ``k`` dominators always has ``k`` of them inside the band, so counting band members suffices.
+    and a row with ``k`` dominators always has ``k`` of them inside the band. Rows are decided ``block`` at a
+    time: dominators are counted among the band and the earlier rows of the block, which decides alike, since
+    an earlier row outside the band brings ``k`` dominators of its own.
     """
     if frame.empty:
         return frame
@@ -120,17 +240,15 @@ def local_skyband(frame: pd.DataFrame, k: int = TOP) -> pd.DataFrame:
     order = np.lexsort((place, frame["lang_count"].to_numpy(), -frame["count"].to_numpy()))
     lang_count = frame["lang_count"].to_numpy()[order]
     spelled = place[order]
-    band_lc = np.empty(len(frame), np.int64)
-    band_sp = np.empty(len(frame), np.int64)
-    keep = []
-    size = 0
-    for i in range(len(order)):
-        lc, sp = lang_count[i], spelled[i]
-        if size < k or np.count_nonzero((band_lc[:size] <= lc) & (band_sp[:size] <= sp)) < k:
-            band_lc[size], band_sp[size] = lc, sp
-            size += 1
-            keep.append(order[i])
-    return frame.iloc[np.sort(np.array(keep, np.int64))]
+    band_lc, band_sp, keep = np.empty(0, np.int64), np.empty(0, np.int64), []
+    for first in range(0, len(order), block):
+        lc, sp = lang_count[first : first + block], spelled[first : first + block]
+        outside = ((band_lc[None, :] <= lc[:, None]) & (band_sp[None, :] <= sp[:, None])).sum(1)
+        inside = np.tril((lc[None, :] <= lc[:, None]) & (sp[None, :] <= sp[:, None]), -1).sum(1)
+        chosen = outside + inside < k
+        band_lc, band_sp = np.concatenate([band_lc, lc[chosen]]), np.concatenate([band_sp, sp[chosen]])
+        keep.append(order[first : first + block][chosen])
+    return frame.iloc[np.sort(np.concatenate(keep))]
 
 
 def top_terms(cells: DataFrame, k: int = TOP, cell_terms: int = CELL_TERMS) -> DataFrame:
