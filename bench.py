@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from merkmal.operators import lookups as L, profile as P, scoring as S, textmodel as T
 from merkmal.operators.complete import apply_fallbacks, validate
-from merkmal.operators.taxonomy import build_slots, distinct_values
+from merkmal.operators.taxonomy import build_slots, distinct_values, with_slots
 from merkmal.operators.text_layers import dictionary_hits
 from merkmal.operators.waterfall import predict_by_rules
 from merkmal.session import build_session, cut_lineage
@@ -52,6 +52,14 @@ def main() -> None:
     def finished(rows, look):
         return validate(apply_fallbacks(predict_by_rules(rows, slots, look), slots, mode), slots)
 
+    fitted = {}
+
+    def fit_model():
+        fitted["word"] = cut_lineage(T.fit_full(labelled, "word", epochs=10))  # epochs run as jobs inside the call
+        return fitted["word"]
+
+    asked = with_slots(truth.select("uid", "feature_name").join(parts, "uid"), slots, ["allowed"])
+
     queries = {
         "title_lookup": lambda: L.title_lookup(labels, parts),
         "rules_all_features": lambda: predict_by_rules(every, slots),
@@ -61,6 +69,8 @@ def main() -> None:
         "word_vocabulary": lambda: T.vocabulary(labelled.withColumn("text", F.concat_ws(" ", "title", "description")), "word"),
         "dictionary_hits_documents": lambda: dictionary_hits(documents, distinct_values(slots)),
         "text_length_summary": lambda: P.text_length_summary(documents),
+        "model_fit_full": fit_model,
+        "model_scores": lambda: T.score(asked, fitted.get("word") or fit_model(), {"word": "plain"}),
     }
     chosen = sys.argv[1:] or list(queries)
     seconds = {}
