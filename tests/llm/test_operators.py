@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import random
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -52,6 +53,11 @@ def test_shards_hold_all_rows_gapless_and_near_equal(frame, docs):
     assert len(out) == len(docs)
     for s, group in itertools.groupby(sorted(out, key=lambda r: r["shard"]), key=lambda r: r["shard"]):
         assert sorted(r["slot"] for r in group) == list(range(sum(r["shard"] == s for r in out)))
+    got = sorted(((r["doc_id"], r["size"], r["text_crc32"]) for r in out), key=str)
+    assert got == sorted(((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in docs), key=str)
+    loads = [sum(r["size"] for r in out if r["shard"] == s) for s in range(4)]
+    largest_slot = max(r["bytes"] for r in sizes.collect())
+    assert max(loads) - min(loads) <= largest_slot  # each slot went to the lightest shard of its time
     assert sharding.with_slots(empty(frame)).count() == 0
 
 
