@@ -89,7 +89,8 @@ STAGES = [
     ("packing", packing),
 ]
 
-#: Toxicity scores and optimal buckets have no SQL form; tests hold the stages against brute force.
+#: Toxicity scores and optimal buckets have no SQL form. tests/llm/test_pipeline.py holds near_copies and benchmark_passages
+#: against brute force; toxicity, repeated_substrings and packing are tested through their operators only.
 ORACLE_SQL = None
 
 
