@@ -8,6 +8,7 @@ from checks.layers import LAYERS, slots
 from checks.relations import with_relations
 from merkmal.operators import lookups as L, vectors as V
 from merkmal.operators.waterfall import predict_by_rules
+from merkmal.session import cut_lineage
 from merkmal.sources import derived as D
 
 
@@ -43,6 +44,7 @@ def semantic_layer(spark, sf):
     known, products = slots(spark, sf), D.products(spark, sf)
     lookup = L.title_lookup(D.labels(spark, sf).filter("split = 'train'"), products)
     rows = predict_by_rules(D.request_rows(products, known), known, lookup, fuzzy=False)
+    rows = cut_lineage(rows.select("uid", "category", "feature_name", "title", "predicted_value", "confidence", "layer"))  # read twice, as in ``predict``
     done = V.semantic_layer(rows, known, threshold=0.3)
     return done.select("uid", "feature_name", "predicted_value", F.round("confidence", 6).alias("confidence"), "layer")
 

@@ -1,9 +1,13 @@
 """Plans that have to hold when the catalog grows: spread inputs, no broadcast of what grows, narrow shuffles."""
 
+import math
+import re
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
-from merkmal.operators import complete as C, lookups as L, scoring as S, taxonomy as T
+from merkmal.operators import complete as C, lookups as L, scoring as S, taxonomy as T, textmodel as T2
 from merkmal.operators.scale import sent_if_small
 from merkmal.operators.waterfall import predict_by_rules
 from merkmal.sources import catalog, derived as D
@@ -70,3 +74,41 @@ def test_commonest_value_against_counting(spark):
     )
     got = {(r.category, r.feature_name): (r.value, r.n) for r in C.commonest_slot_value(slots).collect()}
     assert got == {("a", "f"): ("y", 3), ("b", "f"): ("y", 3), ("c", "f"): ("y", 3), (None, "f"): ("z", 3)}
+
+
+def _texts(spark):
+    rows = [(1, "f", "rot Stift rot"), (1, "f", "blau"), (1, "g", "rot Stift rot"), (2, "f", "blau blau rot"), (3, "f", None), (None, "f", "rot rot"), (4, "g", "")]
+    return spark.createDataFrame(rows, "uid long, feature_name string, text string")
+
+
+def _words(text):
+    words = re.findall(r"\w{2,}", (text or "").lower())
+    return words + [f"{a} {b}" for a, b in zip(words, words[1:])]
+
+
+def test_term_counts_and_tfidf_against_counting(spark):
+    rows = [tuple(r) for r in _texts(spark).collect()]
+    docs, total, tf = Counter(), Counter(), Counter()
+    for uid, feature, text in rows:
+        docs.update((feature, t) for t in set(_words(text)))
+        total.update((feature, t) for t in _words(text))
+        tf.update((uid, feature, t) for t in _words(text))
+    counted = {(r.feature_name, r.term): (r.n_docs, r.n_total) for r in T2.term_counts(_texts(spark), "word").collect()}
+    assert counted == {k: (docs[k], total[k]) for k in total}
+    vocab = T2.vocabulary(_texts(spark), "word")
+    idf = {(r.feature_name, r.term): r.idf for r in vocab.collect()}
+    raw = {k: (1 + math.log(n)) * idf[k[1:]] for k, n in tf.items() if k[0] is not None}  # a null key joins with nothing
+    norm = Counter()
+    for k, x in raw.items():
+        norm[k[:2]] += x * x
+    got = {(r.uid, r.feature_name, r.term): r.tfidf for r in T2.tfidf(_texts(spark), vocab, "word").collect()}
+    assert got.keys() == raw.keys() and all(abs(x - raw[k] / math.sqrt(norm[k[:2]])) < 1e-12 for k, x in got.items())
+
+
+def test_terms_are_not_shuffled(spark):
+    """Weights and scores move texts and sums between tasks, no row per term."""
+    vocab = T2.vocabulary(_texts(spark), "char")
+    model = spark.createDataFrame([("word", "plain", "f", None, None, [0.1, 0.2], ["a", "b"]), ("word", "plain", "f", "rot", 1.0, [0.0, 1.0], None)], T2.MODEL_SCHEMA)
+    rows = spark.createDataFrame([(1, "f", "c", "rot", "", [])], "uid long, feature_name string, category string, title string, description string, allowed array<string>")
+    for df in (T2.tfidf(_texts(spark), vocab, "char"), T2.score(rows, model, {"word": "plain"})):
+        assert not [line for line in plan(df).split("\n") if "hashpartitioning(" in line and "term" in line]
