@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from merkmal.operators import complete as C, lookups as L, scoring as S, taxonomy as T, textmodel as T2
+from merkmal.operators.prepare import product_texts
 from merkmal.operators.scale import sent_if_small
 from merkmal.operators.waterfall import predict_by_rules
 from merkmal.sources import catalog, derived as D
@@ -66,6 +67,30 @@ def test_title_lookup_meets_rows_before_texts_are_made(spark, folder):
     assert not [line for line in below if "text_number" in line]
 
 
+def test_texts_are_made_once_per_product_and_rows_are_not_shuffled_by_title(spark, folder):
+    products, slots = D.products(spark, folder), sent_if_small(T.build_slots(D.taxonomy(spark, folder)))
+    lookup = L.title_lookup(D.labels(spark, folder), products)
+    done = predict_by_rules(D.request_rows(product_texts(products, lookup), slots), slots, lookup)
+    lines = done._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    slot_join = max(i for i, line in enumerate(lines) if "Join Inner, (category" in line)
+    above, below = "\n".join(lines[:slot_join]), "\n".join(lines[slot_join:])
+    assert "regexp_extract_all(description" not in above and "Join LeftOuter, (title" not in above
+    assert "RepartitionByExpression" in below and "Join LeftOuter, (title" in below
+    plain = predict_by_rules(D.request_rows(products, slots), slots, lookup)
+    assert done.columns == plain.columns
+    assert sorted(map(str, done.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_product_texts_keep_repeated_and_null_keys(spark):
+    rows = [(1, "c", "rot 5,5 kg", "Höhe: 3 mm"), (1, "c", "rot 5,5 kg", "Höhe: 3 mm"), (None, "c", None, None), (2, "c", "blau", "")]
+    products = spark.createDataFrame(rows, "uid long, category string, title string, description string")
+    lookup = spark.createDataFrame([("f", "rot 5,5 kg", "x"), (None, "blau", "y"), ("g", None, "z")], "feature_name string, title string, value string")
+    got = product_texts(products, lookup).select("uid", "text", "title_number", "title_values", "clean_pairs").collect()
+    line = (1, "rot 5,5 kg Höhe: 3 mm", "rot 5.5 kg", {"f": "x"}, [("höhe", "3 mm")])
+    assert sorted(map(repr, map(tuple, [(*r[:4], r[4] and [tuple(p) for p in r[4]]) for r in got]))) == sorted(
+        map(repr, [line, line, (None, " ", "", None, None), (2, "blau ", "blau", None, None)]))
+
+
 def test_commonest_value_against_counting(spark):
     slots = spark.createDataFrame(
         [("a", "f", "categorical", ["x", "y"]), ("b", "f", "categorical", ["y", "z"]), ("c", "f", "categorical", ["z", "x", "y"]),
