@@ -38,6 +38,8 @@ LEAST_EVIDENCE = 1.5
 MOST_EVIDENCE = 8.0
 CAUTION = 1.64
 THRESHOLD = 0.7
+#: Tokens a task remembers the worth of, in each of two generations.
+KEPT_TOKENS = 150_000
 
 _MASK = (1 << 32) - 1
 _K = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)
@@ -161,6 +163,46 @@ def disguised(token: str) -> bool:
     return bool(RUN.search(token) or GAPS.search(token))
 
 
+class Beginnings:
+    """First letters of lexicon features: a word that begins otherwise is no evidence, whatever follows."""
+
+    LETTERS = PREFIXES[0]
+
+    def __init__(self, lexicon: dict[str, float]):
+        self.whole = {f[: self.LETTERS] for f in lexicon}
+        self.parts = {f[:n] for f in lexicon for n in range(1, self.LETTERS)}
+
+    def may_be_read(self, word: str) -> bool:
+        """Whether any path of the decoder's lattice holds a word that begins so; the likeliest path is one of them.
+
+        States are the letters of the current word so far, "" after a border; hopeless ones are dropped.
+        """
+        states, before, gap = {""}, "", ""
+        for sign, group in groupby(word, lambda ch: ch if ch.isalnum() or ch in LEET else " "):
+            n = len(list(group))
+            following = set()
+            if not sign.isalnum():
+                if not states.isdisjoint(self.whole):
+                    return True
+                following.add("")
+            if sign == " ":
+                states, gap = following | states, sign
+                continue
+            if gap and sign == before:
+                following |= states - {""}
+            runs = [letter * length for letter in LEET.get(sign, "") + sign for length in {1, min(2, n), n}]
+            for state in states:
+                for run in runs:
+                    letters = (state + run)[: self.LETTERS]
+                    if len(letters) < self.LETTERS:
+                        if letters in self.parts:
+                            following.add(letters)
+                    elif letters in self.whole:
+                        return True
+            states, before, gap = following, sign, ""
+        return not states.isdisjoint(self.whole)
+
+
 class Words(dict):
     """Token as it stands in a text -> tuple of plain words it is read as; bounded memory."""
 
@@ -171,11 +213,15 @@ class Words(dict):
     def __missing__(self, token: str) -> tuple[str, ...]:
         if len(self) >= self.limit:
             self.clear()
-        low = token.lower().strip(PUNCTUATION)
-        value = self[token] = (low,) if low.isalpha() and not RUN.search(low) else self._readings(token)
+        value = self[token] = self.read(token)
         return value
 
-    def _readings(self, token: str) -> tuple[str, ...]:
+    def read(self, token: str, wanted: Beginnings | None = None) -> tuple[str, ...]:
+        low = token.lower().strip(PUNCTUATION)
+        return (low,) if low.isalpha() and not RUN.search(low) else self._readings(token, wanted)
+
+    def _readings(self, token: str, wanted: Beginnings | None = None) -> tuple[str, ...]:
+        """Plain words of a token; of disguised ones only those that may be read as ``wanted`` words are decoded."""
         plain = [w.decode("utf-8", "replace") for w in token.encode("utf-8", "replace").translate(ALNUM_TABLE).split()]
         core = EDGES.sub("", token).lower()
         parts = [p for p in GAPS.split(core) if p]
@@ -183,7 +229,7 @@ class Words(dict):
             parts = ["".join(parts)]
             plain += parts
         for word in dict.fromkeys([core, *parts, *plain]):
-            if disguised(word):
+            if disguised(word) and (wanted is None or wanted.may_be_read(word)):
                 plain += self.decoder.decode(word).split()
         return tuple(dict.fromkeys(plain))
 
@@ -289,23 +335,30 @@ def _scorer(handle, prior: float):
 
     def start():
         words, known = Words(handle.value[0]), handle.value[1]
-        worth: dict[str, tuple] = {}
+        wanted = Beginnings(known)
+        young: dict[str, tuple] = {}
+        old: dict[str, tuple] = {}
 
         def weighed(token: str) -> tuple:
-            out = []
-            for w in words[token]:
-                best = max(known.get(f, 0.0) for f in word_features(w))
-                if best:
-                    out.append((w, best))
-            if len(worth) >= 200_000:
-                worth.clear()
-            value = worth[token] = tuple(out)
+            nonlocal young, old
+            value = old.get(token)
+            if value is None:
+                out = []
+                for w in words.read(token, wanted):
+                    if w[: Beginnings.LETTERS] in wanted.whole:
+                        best = max(known.get(f, 0.0) for f in word_features(w))
+                        if best:
+                            out.append((w, best))
+                value = tuple(out)
+            if len(young) >= KEPT_TOKENS:
+                old, young = young, {}
+            young[token] = value
             return value
 
         def total(text: str) -> float:
             found: dict[str, float] = {}
             for token in set(text.split()):
-                hit = worth.get(token)
+                hit = young.get(token)
                 if hit is None:
                     hit = weighed(token)
                 if hit:

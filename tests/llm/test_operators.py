@@ -279,3 +279,43 @@ def test_hash_sample_is_that_of_a_plain_sort(spark):
     assert lowest_by_hash(table.filter("false"), ["id"], 5, 0).count() == 0
     few = lowest_by_hash(table.select("x"), ["x"], 50, 30_000)  # repeated keys pass together or not at all
     assert few.count() <= 50
+
+
+def test_scores_decode_only_words_that_can_be_evidence(monkeypatch):
+    """A scorer that skips hopeless words gives the scores of one that decodes every disguised word."""
+    import math
+    import random
+
+    import pyarrow as pa
+
+    from merkmal.llm import toxicity as T
+
+    plain = "the committee of all good friends will meet soon and needless hate is bad " * 40
+    model = T.letter_counts(plain).astype("float32")
+    lexicon = {"hate": 3.0, "needless": 2.0, "good": 1.7, "need-": 1.6, "bad": 2.5, "frien-": 1.5}
+
+    class Handle:
+        value = (model, lexicon)
+
+    draw = random.Random(7)
+    swap = {"a": "a4@", "e": "e3", "o": "o0", "i": "i1!", "s": "s5$", "t": "t7+"}
+
+    def disguise(word: str) -> str:
+        out = "".join(draw.choice(swap.get(ch, ch)) * draw.choice((1, 1, 1, 2, 3)) + draw.choice(("", "", "", "-", ".", "_")) for ch in word)
+        return draw.choice((out, out.upper(), "x-" + out, out + "!!"))
+
+    texts = [" ".join(disguise(draw.choice(plain.split())) for _ in range(12)) for _ in range(150)] + ["h a t e", "b.a.d", "", "committee all soon"]
+    words = T.Words(model)
+
+    def worth(text: str) -> float:
+        return sum({w: best for w in T.restored(text, words) if (best := max(lexicon.get(f, 0.0) for f in T.word_features(w)))}.values())
+
+    expected = [1 / (1 + math.exp(2.0 - worth(t))) for t in texts]
+    calls = []
+    decode = T.Decoder.decode
+    monkeypatch.setattr(T.Decoder, "decode", lambda self, word: calls.append(word) or decode(self, word))
+    found = T._scorer(Handle, -2.0)()(pa.array(texts))
+    assert max(expected) > 0.9 and all(abs(a - b) < 1e-9 for a, b in zip(found, expected))
+    assert calls and not {"committee", "all", "soon"} & set(calls)
+    monkeypatch.setattr(T, "KEPT_TOKENS", 3, raising=False)  # a small memory forgets, but scores the same
+    assert all(abs(a - b) < 1e-9 for a, b in zip(T._scorer(Handle, -2.0)()(pa.array(texts)), expected))
