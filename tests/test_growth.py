@@ -137,3 +137,15 @@ def test_terms_are_not_shuffled(spark):
     rows = spark.createDataFrame([(1, "f", "c", "rot", "", [])], "uid long, feature_name string, category string, title string, description string, allowed array<string>")
     for df in (T2.tfidf(_texts(spark), vocab, "char"), T2.score(rows, model, {"word": "plain"})):
         assert not [line for line in plan(df).split("\n") if "hashpartitioning(" in line and "term" in line]
+
+
+def test_rows_with_texts_are_read_once_for_all_layers(spark, folder):
+    slots = sent_if_small(T.build_slots(D.taxonomy(spark, folder)))
+    products = D.products(spark, folder)
+    lookup = L.title_lookup(D.labels(spark, folder), products)
+    rows = D.request_rows(product_texts(products, lookup), slots)
+    lines = plan(predict_by_rules(rows, slots, lookup)).split("\n")
+    top = next(i for i, line in enumerate(lines) if "Generate inline" in line)
+    join = next(i for i, line in enumerate(lines) if i > top and "Join" in line)
+    # One projection for the layers and the join's own.
+    assert sum("Project [" in line for line in lines[top:join]) <= 2
