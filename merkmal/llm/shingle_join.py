@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from merkmal.llm.common import components, lean_memory, mixed, read_table, rolling, small_batches, text_hashes
+from merkmal.llm.common import components, distinct, lean_memory, mixed, read_table, rolling, small_batches, text_hashes
 from merkmal.llm.packed import from_planes, group_bits, packed_by_home, packed_sorted, planes, unpacked_sorted, unpacked_table
 from merkmal.session import cut_lineage
 
@@ -26,6 +26,8 @@ SMALL, SMALL_BITS, BAND_BITS = 48, 5, 7
 FILTER_BITS = 23
 SEEDS = 6
 SKETCH = 8
+#: smallest entries of a set by which a pair knows that it meets at an earlier entry too
+FIRST = 12
 
 _INT, _BIN, _LONG = pa.int32(), pa.binary(), pa.int64()
 
@@ -51,7 +53,7 @@ def _shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
     out, start = [], 0
     for n in sizes:
         if n >= SHINGLE:
-            out.append(np.unique(grams[start : start + n - SHINGLE + 1]))
+            out.append(distinct(grams[start : start + n - SHINGLE + 1]))
         elif n:
             out.append(rolling(hashes[start : start + n], int(n)) ^ np.uint64(n))
         else:
@@ -150,7 +152,7 @@ def allocation(kind: np.ndarray, segment: np.ndarray, value: np.ndarray, cost: n
         if not len(single):
             return None
         chosen = [value[single[np.argsort(cost[single], kind="stable")][:units]]]
-    return np.unique(np.concatenate(chosen))
+    return distinct(np.concatenate(chosen))
 
 
 def parity_sketch(tokens: np.ndarray, words: int = SKETCH) -> np.ndarray:
@@ -262,13 +264,13 @@ def allocated(packed: DataFrame, shared: DataFrame, bits: int, seed: int) -> Dat
             part = slice(own.starts[i], own.starts[i + 1])
             mine = own.own[part]
             chosen = allocation(own.kind[part][mine], own.segment[part][mine], own.value[part][mine], cost[part][mine], int(own.sizes[i]))
-            held = np.unique(own.value[part][cost[part] > 1])
+            held = distinct(own.value[part][cost[part] > 1])
             if chosen is None or len(held):
                 out["doc"].append(int(ids[i]))
                 out["n"].append(int(own.sizes[i]))
                 out["band"].append(int(own.bands[i]))
                 out["common"].append(1.0 - free[i] / max(1, segments[i]))
-                out["chosen"].append([] if chosen is None else np.intersect1d(chosen, held).view(np.int64))
+                out["chosen"].append([] if chosen is None else np.intersect1d(chosen, held, assume_unique=True).view(np.int64))
                 out["held"].append(held.view(np.int64))
                 out["failed"].append(chosen is None)
                 out["sketch"].append(parity_sketch(sets[i]))
@@ -329,6 +331,45 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
+def telling(placed: DataFrame) -> DataFrame:
+    """Rows of the entries whose holders lie in several components; of entries with the same holders and choosers only the smallest.
+
+    Near copies share most of their entries, and every entry that all of them hold would bring the same pairs again.
+    Holders are compared by their number and two sums of 64-bit hashes; a holder is its id with size and openness, as
+    rows with equal ids may have several sets (sketches meet every set of an id).
+    """
+    mark = lambda seed: F.sum(F.xxhash64(F.lit(seed), "doc", "n", "open", "chose").cast("decimal(20,0)"))
+    held = placed.groupBy("entry").agg(
+        F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("n"), mark(1).alias("m1"), mark(2).alias("m2"), F.max("chose").alias("chosen"))
+    kept = held.filter("low < high and chosen").groupBy("n", "m1", "m2").agg(F.min("entry").alias("entry")).select("entry")
+    return placed.join(kept, "entry", "left_semi")
+
+
+def with_first_entries(open_: DataFrame) -> DataFrame:
+    """Rows with the smallest entries that their set chose (mine) and holds (theirs)."""
+    one_set = ["doc", "n", "open"]  # rows with equal ids may have several sets
+    mine = F.slice(F.array_sort(F.collect_list(F.when(F.col("chose"), F.col("entry")))), 1, FIRST)
+    theirs = F.slice(F.array_sort(F.collect_list("entry")), 1, 2 * FIRST)
+    return open_.join(open_.groupBy(*one_set).agg(mine.alias("mine"), theirs.alias("theirs")), one_set)
+
+
+def meeting(open_: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` of holders of an entry that may link, tested inside the join.
+
+    Near copies share many entries; a pair is left out where it meets at a smaller entry among the first ones of both
+    sets. The smallest entry at which it meets always makes it.
+    """
+    one, two = open_.filter("chose").drop("theirs").alias("one"), open_.drop("mine").alias("two")
+    apart = sum((F.bit_count(F.col(f"one.k{i}").bitwiseXOR(F.col(f"two.k{i}"))) for i in range(SKETCH)), F.lit(0))
+    unlike = (
+        (F.col("one.entry") == F.col("two.entry")) & (F.col("one.part") != F.col("two.part")) & (F.col("two.n") >= F.col("one.n"))
+        & (F.col("two.n") * PERCENT <= F.col("one.n") * 100) & (F.col("two.open") | (F.col("two.band") != F.col("one.band")))
+        & (apart * (100 + PERCENT) <= (F.col("one.n") + F.col("two.n")) * (100 - PERCENT))
+        & ~F.exists("one.mine", lambda e: (e < F.col("one.entry")) & F.array_contains("two.theirs", e))
+    )
+    return one.join(two, unlike).select(F.col("one.doc").alias("a"), F.col("two.doc").alias("b"))
+
+
 def linked_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, s1, s2 and component_id of every row.
 
@@ -337,7 +378,8 @@ def linked_components(docs: DataFrame) -> DataFrame:
     which most segments are held by others: the original of near copies. Then
     all pairs of holders are compared that are still in different components,
     agree in size and in their parity sketches, and of which the smaller chose the entry and the larger may
-    have partners; all this is tested inside the join. So no link between classes is missed, while a large group of near copies costs one comparison each.
+    have partners; all this is tested inside the join, which makes a pair at few of the entries that it
+    shares. So no link between classes is missed, while a large group of near copies costs one comparison each.
     Rows without words link with nothing; rows without doc_id take part only
     through equal sets. Rows with equal ids are one node.
     """
@@ -374,17 +416,10 @@ def linked_components(docs: DataFrame) -> DataFrame:
 
     part = F.coalesce("component", "doc")
     placed = members.drop("hub", "hub_n").join(parts.withColumnRenamed("id", "doc"), "doc", "left").withColumn("part", part).drop("component")
-    mixed_entries = placed.groupBy("entry").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high").select("entry")
+    open_ = cut_lineage(telling(placed))
     bits_of = found.select("doc", *[F.get("sketch", F.lit(i)).alias(f"k{i}") for i in range(SKETCH)])
-    open_ = cut_lineage(placed.join(mixed_entries, "entry", "left_semi").join(bits_of, "doc"))
-    one, two = open_.filter("chose").alias("one"), open_.alias("two")
-    apart = sum((F.bit_count(F.col(f"one.k{i}").bitwiseXOR(F.col(f"two.k{i}"))) for i in range(SKETCH)), F.lit(0))
-    unlike = (
-        (F.col("one.entry") == F.col("two.entry")) & (F.col("one.part") != F.col("two.part")) & (F.col("two.n") >= F.col("one.n"))
-        & (F.col("two.n") * PERCENT <= F.col("one.n") * 100) & (F.col("two.open") | (F.col("two.band") != F.col("one.band")))
-        & (apart * (100 + PERCENT) <= (F.col("one.n") + F.col("two.n")) * (100 - PERCENT))
-    )
-    rest = one.join(two, unlike).select(F.least("one.doc", "two.doc").alias("b"), F.greatest("one.doc", "two.doc").alias("a")).distinct()
+    open_ = cut_lineage(with_first_entries(open_).join(bits_of, "doc"))
+    rest = meeting(open_).select(F.least("a", "b").alias("b"), F.greatest("a", "b").alias("a")).distinct()
     rest = cut_lineage(rest.select("a", "b").join(first, ["a", "b"], "left_anti"))
     parts = components(links.union(verified(rest, sets))).select(F.col("id").alias("rep"), "component")
 

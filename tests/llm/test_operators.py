@@ -319,3 +319,26 @@ def test_scores_decode_only_words_that_can_be_evidence(monkeypatch):
     assert calls and not {"committee", "all", "soon"} & set(calls)
     monkeypatch.setattr(T, "KEPT_TOKENS", 3, raising=False)  # a small memory forgets, but scores the same
     assert all(abs(a - b) < 1e-9 for a, b in zip(T._scorer(Handle, -2.0)()(pa.array(texts)), expected))
+
+
+def test_pairs_that_share_many_entries_are_made_once(spark):
+    sketch = {f"k{i}": 0 for i in range(shingle_join.SKETCH)}
+    rows = [(e, d, 400, 2, 0.5, d < 8, True, d) for e in range(1, 41) for d in (3, 8, 9)]  # 3 and the others are apart
+    rows += [(50, 3, 400, 2, 0.5, True, True, 3), (50, 8, 400, 2, 0.5, False, True, 8), (51, 3, 400, 2, 0.5, True, True, 3)]
+    placed = spark.createDataFrame(rows, "entry long, doc long, n long, band int, common double, chose boolean, open boolean, part long")
+    kept = shingle_join.telling(placed)
+    assert sorted(r["entry"] for r in kept.select("entry").distinct().collect()) == [1, 50]
+    for k, v in sketch.items():
+        placed, kept = placed.withColumn(k, F.lit(v).cast("long")), kept.withColumn(k, F.lit(v).cast("long"))
+    for open_ in (placed, kept):  # with and without the repeated entries
+        made = shingle_join.meeting(shingle_join.with_first_entries(open_)).collect()
+        assert sorted((r["a"], r["b"]) for r in made) == [(3, 8), (3, 9)]
+
+
+def test_sets_of_rows_with_equal_ids_hide_no_pair(spark):
+    """Id 3 has a set of 400 and one of 100 entries; only the first may link with 8, at entries that the other does not choose."""
+    rows = [(1, 3, 100, 1, 0.5, True, True, 3), (7, 3, 400, 2, 0.5, True, True, 3), (1, 8, 400, 2, 0.5, False, True, 8), (7, 8, 400, 2, 0.5, False, True, 8)]
+    open_ = spark.createDataFrame(rows, "entry long, doc long, n long, band int, common double, chose boolean, open boolean, part long")
+    for i in range(shingle_join.SKETCH):
+        open_ = open_.withColumn(f"k{i}", F.lit(0).cast("long"))
+    assert [tuple(r) for r in shingle_join.meeting(shingle_join.with_first_entries(open_)).collect()] == [(3, 8)]
