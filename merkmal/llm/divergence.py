@@ -19,6 +19,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from merkmal.llm.common import _POWERS, _SPREAD, ascii_lower, mixed, read_table, small_batches, split_words
+from merkmal.operators.scale import sent_if_small
 from merkmal.session import cut_lineage
 
 # Fixed values of the contract.
@@ -40,10 +41,10 @@ def terms(text: Column) -> Column:
 
 
 def share(count: str, total: str, kept: str) -> Column:
-    """p = 1 + floor(SCALE * (count + 2) / (total + 2 * kept)), exact: 38 digits, integral division."""
-    return F.expr(
-        f"1 + (CAST({SCALE} AS DECIMAL(38,0)) * CAST({count} + 2 AS DECIMAL(38,0))) div CAST({total} + 2 * {kept} AS DECIMAL(38,0))"
-    ).cast("long")
+    """p = 1 + floor(SCALE * (count + 2) / (total + 2 * kept)), exact; 38 digits where a long can't hold the product."""
+    wide = f"(CAST({SCALE} AS DECIMAL(38,0)) * CAST({count} + 2 AS DECIMAL(38,0))) div CAST({total} + 2 * {kept} AS DECIMAL(38,0))"
+    fits = (2**63 - 1) // SCALE - 2
+    return F.expr(f"1 + CASE WHEN {count} <= {fits}L THEN ({SCALE}L * ({count} + 2)) div ({total} + 2 * {kept}) ELSE CAST({wide} AS BIGINT) END").cast("long")
 
 
 def apart(p: str, q: str) -> Column:
@@ -51,14 +52,37 @@ def apart(p: str, q: str) -> Column:
     return F.expr(f"(({p} - {q}) * ({p} - {q})) div ({p} + {q})").cast("long")
 
 
-def _tokens(batch: pa.RecordBatch) -> pa.Table:
-    """``lang, source, term, row`` of every term occurrence of a batch; null lang, source and text read as ''."""
-    lang = pc.fill_null(batch.column("lang"), "")
-    source = pc.fill_null(batch.column("source"), "")
-    words = pc.split_pattern_regex(pc.ascii_lower(pc.fill_null(batch.column("text"), "")), NOT_TERM)
-    row = pc.list_parent_indices(words)
-    flat = pa.table({"lang": pc.take(lang, row), "source": pc.take(source, row), "term": pc.list_flatten(words), "row": row})
-    return flat.filter(pc.not_equal(flat["term"], ""))
+class _Counted:
+    """Terms of a batch as numbers: distinct ``terms``, and per (term, row) that occurs its ``code``, ``row`` and ``times``.
+
+    ``lang`` and ``source`` of every row read null as ''; so does the text.
+    """
+
+    def __init__(self, batch: pa.RecordBatch):
+        self.lang, self.source = (pc.fill_null(batch.column(c), "").dictionary_encode() for c in ("lang", "source"))
+        words = pc.split_pattern_regex(pc.ascii_lower(pc.fill_null(batch.column("text"), "")), NOT_TERM)
+        flat, row = pc.list_flatten(words), pc.list_parent_indices(words).to_numpy(zero_copy_only=False).astype(np.int64)
+        coded = flat.dictionary_encode()
+        self.terms = coded.dictionary
+        code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        blank = pc.index(self.terms, "").as_py()  # what stands before the first and after the last gap
+        if blank >= 0:
+            code, row = code[code != blank], row[code != blank]
+        at, self.times = _runs(code * batch.num_rows + row)
+        self.code, self.row = at // max(batch.num_rows, 1), at % max(batch.num_rows, 1)
+
+
+def _runs(keys: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, with their number (or the sum of their ``weights``)."""
+    if not len(keys):
+        return keys, np.empty(0, np.int64)
+    if weights is None:
+        keys = np.sort(keys)
+    else:
+        order = np.argsort(keys)
+        keys, weights = keys[order], weights[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.diff(first, append=len(keys)) if weights is None else np.add.reduceat(weights, first)
 
 
 def _buckets(terms: pa.Array, size: int) -> np.ndarray:
@@ -83,14 +107,15 @@ def sketch_counts(batches, size: int = SKETCH, rows: int = 500):
     """
     held: dict[str, np.ndarray] = {}
     for batch in small_batches(batches, rows):
-        flat = _tokens(batch)
-        if not flat.num_rows:
+        found = _Counted(batch)
+        if not len(found.code):
             continue
-        per = flat.group_by(["lang", "term"]).aggregate([("row", "count_distinct")])
-        for lang in pc.unique(per["lang"]).to_pylist():
-            mine = per.filter(pc.equal(per["lang"], lang))
+        buckets = _buckets(found.terms, size)
+        of_row = found.lang.indices.to_numpy(zero_copy_only=False)
+        for number, lang in enumerate(found.lang.dictionary.to_pylist()):
+            terms, docs = _runs(found.code[of_row[found.row] == number])
             counts = held.setdefault(lang, np.zeros(size, np.int64))
-            np.add.at(counts, _buckets(mine["term"].combine_chunks(), size), mine["row_count_distinct"].to_numpy())
+            np.add.at(counts, buckets[terms], docs)
     pack = zstandard.ZstdCompressor(level=1)
     for lang, counts in held.items():
         capped = np.minimum(counts, MIN_DOCS).astype(np.uint8).reshape(-1, CHUNK)
@@ -127,9 +152,9 @@ def batch_counts(batches, frequent: dict[str, np.ndarray], rows: int = 500, held
     """Per task: ``lang, source, term, count, n_docs`` of the terms whose bucket may be frequent.
 
     Texts are taken ``rows`` at a time; partial counts are merged again whenever more than ``held_rows`` lines
-    are held, so memory stays bounded however long the texts and however many the terms.
+    are held (half as many beyond the distinct ones), so memory follows the task's distinct lines however long the texts.
     """
-    held, size = [], 0
+    held, size, limit = [], 0, held_rows
 
     def merged(tables):
         table = pa.concat_tables(tables)
@@ -137,25 +162,33 @@ def batch_counts(batches, frequent: dict[str, np.ndarray], rows: int = 500, held
         return summed.rename_columns(["lang", "source", "term", "count", "n_docs"]).cast(_COUNTS)
 
     for batch in small_batches(batches, rows):
-        flat = _tokens(batch)
-        if not flat.num_rows:
+        found = _Counted(batch)
+        if not len(found.code):
             continue
-        summed = flat.group_by(["lang", "source", "term"]).aggregate([("row", "count"), ("row", "count_distinct")])
-        summed = summed.rename_columns(["lang", "source", "term", "count", "n_docs"]).cast(_COUNTS)
-        keep = np.zeros(summed.num_rows, bool)
-        langs = summed["lang"].to_numpy(zero_copy_only=False)
-        buckets = _buckets(summed["term"].combine_chunks(), SKETCH)
-        for lang, bits in frequent.items():
-            mine = langs == lang
-            keep[mine] = bits[buckets[mine]]
-        summed = summed.filter(pa.array(keep))
-        if not summed.num_rows:
+        buckets = _buckets(found.terms, SKETCH)
+        langs, sources = (c.indices.to_numpy(zero_copy_only=False).astype(np.int64) for c in (found.lang, found.source))
+        keep = np.zeros(len(found.code), bool)
+        for number, lang in enumerate(found.lang.dictionary.to_pylist()):
+            if lang in frequent:
+                mine = np.flatnonzero(langs[found.row] == number)
+                keep[mine] = frequent[lang][buckets[found.code[mine]]]
+        if not keep.any():
             continue
-        held.append(summed)
-        size += summed.num_rows
-        if size > held_rows:
+        n_sources = len(found.source.dictionary)
+        group = langs * n_sources + sources
+        n_groups = len(found.lang.dictionary) * n_sources
+        keys = found.code[keep] * n_groups + group[found.row[keep]]
+        at, count = _runs(keys, found.times[keep])
+        _, n_docs = _runs(keys)
+        of = at % n_groups
+        held.append(pa.Table.from_arrays([
+            found.lang.dictionary.take(pa.array(of // n_sources)), found.source.dictionary.take(pa.array(of % n_sources)),
+            found.terms.take(pa.array(at // n_groups)), pa.array(count), pa.array(n_docs)], names=_COUNTS.names).cast(_COUNTS))
+        size += len(at)
+        if size > limit:
             held = [merged(held)]
             size = held[0].num_rows
+            limit = max(held_rows, size + held_rows // 2)
     if held:
         yield from merged(held).to_batches(max_chunksize=100_000)
 
@@ -164,13 +197,13 @@ _COUNTS = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa
 
 
 def counted(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``groups (lang, source)``, ``kept (lang, term, lang_count)`` and ``held (lang, source, term, count)``.
+    """``groups (lang, source)``, ``kept (lang, term, lang_count)`` and ``held (lang, source, term, count, lang_count)``.
 
     Null lang, source and text read as ''. A term is kept in a language when at least ``MIN_DOCS`` of its rows
     hold it; ``held`` has only kept terms that occur in the source (count > 0). A first pass sums, per language,
     documents per hash bucket of terms over all tasks; a term whose bucket holds fewer than ``MIN_DOCS`` documents
     cannot be kept. The second pass splits texts again (Arrow compute inside tasks) and sends on partial counts of
-    the other terms only; Spark adds them up, the exact frequency decides, and ``held`` is written to the shared folder, so later parts read it instead of the texts.
+    the other terms only; Spark adds them up after one shuffle by term, the exact frequency decides, and ``held`` is written to the shared folder, so later parts read it instead of the texts.
     """
     lang = F.coalesce(F.col("lang"), F.lit("")).alias("lang")
     source = F.coalesce(F.col("source"), F.lit("")).alias("source")
@@ -179,12 +212,15 @@ def counted(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     partial = docs.select("lang", "source", "text").mapInArrow(
         lambda b: batch_counts(b, frequent), "lang string, source string, term string, count long, n_docs long"
     )
-    per_source = cut_lineage(
-        partial.groupBy("lang", "source", "term").agg(F.sum("count").alias("count"), F.sum("n_docs").alias("n_docs"))
+    per_source = partial.repartition("lang", "term").groupBy("lang", "source", "term").agg(
+        F.sum("count").alias("count"), F.sum("n_docs").alias("n_docs")
     )
-    in_docs = per_source.groupBy("lang", "term").agg(F.sum("n_docs").alias("n_docs")).filter(F.col("n_docs") >= MIN_DOCS)
-    held = per_source.join(in_docs.select("lang", "term"), ["lang", "term"], "left_semi").drop("n_docs")
-    kept = held.groupBy("lang", "term").agg(F.sum("count").alias("lang_count"))
+    whole = Window.partitionBy("lang", "term")  # at most one line per source
+    held = per_source.select(
+        "lang", "source", "term", "count", F.sum("n_docs").over(whole).alias("in_docs"), F.sum("count").over(whole).alias("lang_count")
+    ).filter(F.col("in_docs") >= MIN_DOCS).drop("in_docs")
+    held = cut_lineage(held)
+    kept = held.groupBy("lang", "term").agg(F.first("lang_count").alias("lang_count"))
     return groups, kept, held
 
 
@@ -211,7 +247,8 @@ def scored(groups: DataFrame, kept: DataFrame, held: DataFrame) -> tuple[DataFra
     sources = sources.withColumn(
         "zero", F.when(F.col("n_kept") > 0, share("0", "total", "n_kept"))
     )
-    cells = held.join(kept, ["lang", "term"]).join(sources, ["lang", "source"]).select(
+    sources = cut_lineage(sources)
+    cells = held.join(sent_if_small(sources), ["lang", "source"]).select(
         "lang",
         "source",
         "term",
@@ -221,7 +258,7 @@ def scored(groups: DataFrame, kept: DataFrame, held: DataFrame) -> tuple[DataFra
         share("count", "total", "n_kept").alias("p"),
         share("lang_count", "lang_total", "n_kept").alias("q"),
     )
-    return cut_lineage(sources.drop("total", "lang_total")), cells
+    return sources.drop("total", "lang_total"), cells
 
 
 def local_skyband(frame: pd.DataFrame, k: int = TOP, block: int = 256) -> pd.DataFrame:
@@ -279,15 +316,17 @@ def source_pairs(sources: DataFrame, cells: DataFrame) -> DataFrame:
     """
     a = cells.select("lang", "term", F.col("source").alias("source"), F.col("p").alias("pa"), F.col("zero").alias("za"))
     b = cells.select("lang", "term", F.col("source").alias("item"), F.col("p").alias("pb"), F.col("zero").alias("zb"))
-    shared = (
+    half = (
         a.join(b, ["lang", "term"])
-        .filter(F.col("source") != F.col("item"))
+        .filter(F.col("source") < F.col("item"))
         .groupBy("lang", "source", "item")
         .agg(
             F.sum(apart("pa", "pb") - apart("pa", "zb") - apart("pb", "za")).alias("both"),
             F.count("*").alias("n_both"),
         )
     )
+    half = cut_lineage(half)  # a line per pair; both ways round they are equal
+    shared = half.union(half.select("lang", "item", "source", "both", "n_both"))
     other = sources.select("lang", F.col("source").alias("item"), F.col("zero").alias("zb"), F.col("n_terms").alias("n_b"))
     histogram = cells.groupBy("lang", "source", "p").agg(F.count("*").alias("times"))
     alone = (

@@ -234,3 +234,16 @@ def test_window_reconciliation_covers_every_region():
         for s in starts:
             covered.update(range(s, min(s + private.LENGTH, len(text))))
         assert set(range(a, b)) <= covered
+
+
+def test_divergence_counts_meet_their_sources_in_one_join(spark, corpus_rows):
+    """Counts of the language stand in the counted rows; shares are exact, also where a long can't hold the product."""
+    frame = spark.createDataFrame(corpus_rows, "lang string, source string, text string")
+    groups, kept, held = divergence.counted(frame)
+    _, cells = divergence.scored(groups, kept, held)
+    assert cells._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+    limit = (2**63 - 1) // divergence.SCALE - 2
+    counts = [0, 1, 7, limit - 1, limit, limit + 1, 2**50]
+    rows = spark.createDataFrame([(c, 2 * c + 5, 9) for c in counts], "count long, total long, n_kept long")
+    got = [r[0] for r in rows.select(divergence.share("count", "total", "n_kept")).collect()]
+    assert got == [1 + divergence.SCALE * (c + 2) // (2 * c + 5 + 18) for c in counts]
