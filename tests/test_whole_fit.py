@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from merkmal.operators import textmodel as T
+from merkmal.plans.predict import learn
 
 
 def rows(n):
@@ -35,3 +36,14 @@ def test_two_classes_in_shards(spark):
     scored = T.score(labelled.withColumn("allowed", F.array().cast("array<string>")), model, {"word": "plain"})
     wrong = scored.join(labelled.select("uid", "feature_value"), "uid").filter("word_value is null or word_value <> feature_value")
     assert wrong.count() == 0
+
+
+def test_both_models_of_a_run_learn_from_every_row(spark):
+    given = frame(spark, rows(75))
+    taxonomy = spark.createDataFrame([("c", "Farbe", "categorical", "{'[rot]','[blau]','[grün]'}", 1)],
+                                     "category string, feature_name string, feature_type string, aggregated_feature_values string, row_pos bigint")
+    labels = given.select("uid", "feature_name", "feature_value").withColumn("feature_type", F.lit("categorical"))
+    model = learn(taxonomy, given.drop("feature_name", "feature_value"), labels, models=True, epochs=1, max_fit_rows=25).model
+    assert unmoved(model, "word") == (75, 0)
+    own, still = unmoved(model, "char")  # a row already on the right side moves nothing
+    assert own == 75 and own - still > 25
