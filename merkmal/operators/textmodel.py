@@ -19,11 +19,12 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from merkmal.functions.patterns import once
-from merkmal.functions.text import char_terms, piped_text, plain_text, word_terms
+from merkmal.functions.text import char_terms, flat_text, piped_text, plain_text, word_terms, words_of
 from merkmal.operators.scale import group_tasks, rank_within, sent_if_small, top_per_group
 from merkmal.session import cut_lineage
 
@@ -36,7 +37,12 @@ CHUNK_ROWS, BLOCK_WEIGHTS = 1000, 512
 BROADCAST_TERMS, BROADCAST_WEIGHTS = 100_000, 2_000_000
 MODEL_SCHEMA = "model string, form string, feature_name string, term string, idf double, weights array<double>, classes array<string>"
 
+#: Weights that leave a task in one batch.
+OUT_ROWS = 100_000
+
 TERMS = {"word": word_terms, "char": char_terms}
+#: What a task cuts into terms: words in order, or the flat text.
+PIECES = {"word": words_of, "char": flat_text}
 TEXTS = {"plain": plain_text, "piped": piped_text}
 
 
@@ -85,13 +91,88 @@ def vocabulary(documents: DataFrame, kind: str, max_terms: int = MAX_TERMS) -> D
 def tfidf(documents: DataFrame, vocab: DataFrame, kind: str, key: str = "uid") -> DataFrame:
     """Sublinear, L2-normalised weights per (key, feature_name, term).
 
-    Texts are shuffled once by their key and never as terms: a row counts its terms (texts of a
-    repeated key together), the vocabulary is sent to them where it is small, and norms are sums of
-    one row per key. Terms are taken a second time for the result instead of being sorted to their norm.
+    Texts are shuffled once by their key and never as terms. Where the vocabulary is small it is sent to
+    them, and a text is cut once for all its features; beyond that terms meet it in a join.
+    """
+    vocab = cut_lineage(vocab.select("feature_name", "term", "idf"))
+    held = vocab.limit(BROADCAST_TERMS + 1).toArrow()
+    known = documents.filter(F.col(key).isNotNull() & F.col("feature_name").isNotNull())
+    return _tfidf_sent(known, held, kind, key) if held.num_rows <= BROADCAST_TERMS else _tfidf_joined(known, vocab, kind, key)
+
+
+def _tfidf_sent(documents: DataFrame, vocab: pa.Table, kind: str, key: str) -> DataFrame:
+    """One line per key with its distinct texts and their features; weights leave in batches of ``OUT_ROWS``."""
+    schema = documents.select(key, "feature_name", F.lit("").alias("term"), F.lit(0.0).alias("tfidf")).schema
+    sent = documents.sparkSession.sparkContext.broadcast(vocab.combine_chunks())
+    copies = group_tasks(documents.filter(F.col("text").isNotNull()), [key]).groupBy(key, "text", "feature_name").agg(F.count("*").alias("n"))
+    texts = copies.groupBy(key, "text").agg(F.collect_list(F.struct("feature_name", "n")).alias("features"))
+    lines = texts.select(key, PIECES[kind](F.col("text")).alias("pieces"), "features").groupBy(key).agg(
+        F.collect_list("pieces").alias("pieces"), F.collect_list("features").alias("features")
+    )
+
+    def run(batches):
+        table = sent.value.sort_by("term")
+        idf, names, terms = table["idf"].to_numpy(), table["feature_name"].combine_chunks(), table["term"].combine_chunks()
+        coded = names.dictionary_encode()
+        feature_of, features = coded.indices.to_numpy(), {f: i for i, f in enumerate(coded.dictionary.to_pylist())}
+        ids, starts = {}, []
+        for place, term in enumerate(terms.to_pylist()):
+            if ids.setdefault(term, len(starts)) == len(starts):
+                starts.append(place)
+        starts = np.array(starts, dtype=np.int64)
+        held = np.diff(starts, append=len(idf))  # features that know a term
+
+        def weights(keys, owners, sizes, known, counts, marks):
+            """Of whole keys; a line is one text of the key ``owners`` names."""
+            copies = np.zeros((len(sizes), len(features)), dtype=np.int64)
+            for line, feature, n in marks:
+                copies[line, feature] = n
+            line, known = np.repeat(np.arange(len(sizes)), sizes), np.array(known, dtype=np.int64)
+            spread = held[known]
+            first = np.repeat(starts[known] - (np.cumsum(spread) - spread), spread)
+            at, line, tf = first + np.arange(len(first)), np.repeat(line, spread), np.repeat(np.array(counts, dtype=np.int64), spread)
+            tf = tf * copies[line, feature_of[at]]
+            at, line, tf = at[tf > 0], line[tf > 0], tf[tf > 0]
+            key_of = np.array(owners, dtype=np.int64)[line]
+            if len(sizes) > len(keys):  # several texts of a key are counted together
+                code, same = np.unique(key_of * len(idf) + at, return_inverse=True)
+                key_of, at, tf = code // len(idf), code % len(idf), np.bincount(same, weights=tf)
+            raw, group = (1 + np.log(tf)) * idf[at], key_of * len(features) + feature_of[at]
+            norm = np.sqrt(np.bincount(group, weights=raw * raw))
+            columns = [pa.array(keys, kept).take(pa.array(key_of)), names.take(pa.array(at)), terms.take(pa.array(at)), pa.array(raw / norm[group])]
+            return pa.RecordBatch.from_arrays(columns, [key, "feature_name", "term", "tfidf"])
+
+        for batch in batches:
+            kept = batch.schema.field(key).type
+            held_back, expected = ([], [], [], [], [], []), 0
+            for value, pieces, marked in zip(*(batch[c].to_pylist() for c in (key, "pieces", "features"))):
+                keys, owners, sizes, known, counts, marks = held_back
+                keys.append(value)
+                for piece, wanted in zip(pieces, marked):
+                    cut = {ids[t]: tf for t, tf in Counter(piece_terms(piece, kind)).items() if t in ids}
+                    here = [(len(sizes), features[m["feature_name"]], m["n"]) for m in wanted if m["feature_name"] in features]
+                    owners.append(len(keys) - 1)
+                    sizes.append(len(cut))
+                    known.extend(cut)
+                    counts.extend(cut.values())
+                    marks.extend(here)
+                    expected += len(cut) * max(len(here), 1)
+                if expected >= OUT_ROWS:
+                    yield weights(*held_back)
+                    held_back, expected = ([], [], [], [], [], []), 0
+            if held_back[0]:
+                yield weights(*held_back)
+
+    return lines.mapInArrow(run, schema)
+
+
+def _tfidf_joined(documents: DataFrame, vocab: DataFrame, kind: str, key: str) -> DataFrame:
+    """A row counts its terms (texts of a repeated key together), and norms are sums of one row per key.
+
+    Terms are taken a second time for the result instead of being sorted to their norm.
     """
-    vocab = sent_if_small(cut_lineage(vocab.select("feature_name", "term", "idf")), BROADCAST_TERMS)
     keys = [key, "feature_name"]
-    texts = group_tasks(documents.filter(F.col(key).isNotNull()), keys).groupBy(*keys).agg(F.collect_list("text").alias("texts"))
+    texts = group_tasks(documents, keys).groupBy(*keys).agg(F.collect_list("text").alias("texts"))
     counted = counted_terms(F.flatten(F.transform("texts", lambda t: TERMS[kind](t))))
 
     def weighted(rows: DataFrame, *more: str) -> DataFrame:
@@ -106,14 +187,17 @@ def tfidf(documents: DataFrame, vocab: DataFrame, kind: str, key: str = "uid") -
 # ---- helpers inside a task --------------------------------------------------------
 
 
+def piece_terms(piece: list[str] | str, kind: str) -> list[str]:
+    """Terms from what ``PIECES`` gives of a text."""
+    if kind == "word":
+        return piece + [f"{a} {b}" for a, b in zip(piece, piece[1:])]
+    return [piece[i : i + n] for n in (2, 3, 4) for i in range(len(piece) - n + 1)]
+
+
 def text_terms(text: str, kind: str) -> list[str]:
     """Terms of one text as ``word_terms`` and ``char_terms`` give them."""
     text = text.lower()
-    if kind == "word":
-        words = re.findall(r"\w{2,}", text)
-        return words + [f"{a} {b}" for a, b in zip(words, words[1:])]
-    text = re.sub(r"\s\s+", " ", text)
-    return [text[i : i + n] for n in (2, 3, 4) for i in range(len(text) - n + 1)]
+    return piece_terms(re.findall(r"\w{2,}", text) if kind == "word" else re.sub(r"\s\s+", " ", text), kind)
 
 
 def sparse_row(text: str, kind: str, index: dict[str, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
