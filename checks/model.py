@@ -10,6 +10,7 @@ from checks.relations import with_relations
 from merkmal.functions.text import plain_text
 from merkmal.operators import textmodel as T
 from merkmal.operators.lookups import labelled_products
+from merkmal.operators.scale import group_tasks
 from merkmal.operators.taxonomy import with_slots
 from merkmal.operators.waterfall import predict_by_rules
 from merkmal.plans.predict import classifier_layer
@@ -53,8 +54,10 @@ def count_model(docs, kind):
     vocab = T.vocabulary(docs, kind)
     sizes = docs.groupBy("feature_name", "feature_value").agg(F.count("*").alias("n_class"))
     rows = docs.groupBy("feature_name").agg(F.count("*").alias("n_rows"))
-    held = docs.select("feature_name", "feature_value", F.explode(F.array_distinct(T.TERMS[kind](F.col("text")))).alias("term"))
-    held = held.groupBy("feature_name", "feature_value", "term").agg(F.count("*").alias("n_both"))
+    copies = docs.groupBy("text", "feature_name", "feature_value").agg(F.count("*").alias("n"))
+    lines = group_tasks(copies, ["text"]).groupBy("text").agg(F.collect_list(F.struct("feature_name", "feature_value", "n")).alias("marks"))
+    held = lines.select("marks", F.explode(F.array_distinct(T.TERMS[kind](F.col("text")))).alias("term")).select(F.explode("marks").alias("m"), "term")
+    held = held.groupBy("m.feature_name", "m.feature_value", "term").agg(F.sum("m.n").alias("n_both"))
     grid = vocab.join(sizes, "feature_name").join(rows, "feature_name").join(held, ["feature_name", "feature_value", "term"], "left")
     weight = F.coalesce("n_both", F.lit(0)) / F.col("n_class") - F.col("n_docs") / F.col("n_rows")
     ordered = F.array_sort(F.collect_list(F.struct(F.col("feature_value").alias("c"), weight.alias("w"))))

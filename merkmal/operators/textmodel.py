@@ -35,6 +35,8 @@ MAX_FIT_ROWS = 20_000
 CHUNK_ROWS, BLOCK_WEIGHTS = 1000, 512
 #: Terms and weights of a model up to these numbers are sent to all executors; results are the same beyond them.
 BROADCAST_TERMS, BROADCAST_WEIGHTS = 100_000, 2_000_000
+#: Classes whose margins are summed in a column each; with more, in a line each.
+WIDE_CLASSES = 32
 MODEL_SCHEMA = "model string, form string, feature_name string, term string, idf double, weights array<double>, classes array<string>"
 
 #: Weights that leave a task in one batch.
@@ -603,21 +605,30 @@ def _probabilities(margins: Column) -> Column:
     return once(halves, shares)
 
 
-def _best_class(rows: DataFrame, model: DataFrame, kind: str, small: bool) -> DataFrame:
+def _best_class(rows: DataFrame, model: DataFrame, kind: str, small: bool, widest: int) -> DataFrame:
     """``(uid, feature_name, <kind>_value, <kind>_confidence)`` of every key that has a ``kind`` model.
 
-    A term of a text meets the weights of its classes, and one aggregate per (row, class) sums
-    them; the place before the classes sums the squares, which give the norm. Where the model
-    is sent to the rows, nothing is shuffled by term.
+    A text is cut once for all features of its uid. A term meets the weights of its classes, and
+    one aggregate per row sums them and the squares, which give the norm: a column per class up to
+    ``WIDE_CLASSES``, beyond that a line per (row, class). Where the model is sent to the rows,
+    nothing is shuffled by term.
     """
     keys = ["uid", "feature_name"]
     known = model.filter((F.col("model") == kind) & F.col("term").isNotNull()).select("feature_name", "term", "idf", "weights")
-    terms = rows.select(*keys, F.explode(counted_terms(TERMS[kind](F.col(f"text_{kind}")))).alias("t")).select(*keys, "t.term", "t.tf")
+    lines = rows.groupBy("uid", f"text_{kind}").agg(F.collect_list("feature_name").alias("features"))
+    cut = lines.select("uid", "features", F.explode(counted_terms(TERMS[kind](F.col(f"text_{kind}")))).alias("t"))
+    terms = cut.select("uid", F.explode("features").alias("feature_name"), "t.term", "t.tf")
     met = terms.join(F.broadcast(known) if small else known, ["feature_name", "term"])
     raw = met.select(*keys, "weights", ((1 + F.log("tf")) * F.col("idf")).alias("raw"))
-    parts = raw.select(*keys, "raw", F.posexplode(F.concat(F.array("raw"), F.col("weights"))).alias("place", "w"))
-    sums = parts.groupBy(*keys, "place").agg(F.sum(F.col("raw") * F.col("w")).alias("s"))
-    touched = sums.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("place", "s"))).alias("sums"))
+    if widest <= WIDE_CLASSES:
+        parts = [F.sum(F.col("raw") * F.col("raw")), *[F.sum(F.col("raw") * F.get("weights", F.lit(i))) for i in range(widest)]]
+        touched = raw.groupBy(*keys).agg(*[p.alias(f"s{i}") for i, p in enumerate(parts)]).select(
+            *keys, F.array(*[F.struct(F.lit(i).alias("place"), F.col(f"s{i}").alias("s")) for i in range(len(parts))]).alias("sums")
+        )
+    else:
+        parts = raw.select(*keys, "raw", F.posexplode(F.concat(F.array("raw"), F.col("weights"))).alias("place", "w"))
+        sums = parts.groupBy(*keys, "place").agg(F.sum(F.col("raw") * F.col("w")).alias("s"))
+        touched = sums.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("place", "s"))).alias("sums"))
     heads = F.broadcast(class_heads(model.filter(F.col("model") == kind)).drop("model"))  # one row per feature
     grid = rows.select(*keys, "allowed").join(heads, "feature_name").join(touched.hint("merge"), keys, "left")
     norm = F.sqrt(F.get("sums", F.lit(0))["s"])
@@ -647,7 +658,7 @@ def score(rows: DataFrame, model: DataFrame, text: dict[str, str] | None = None,
     bounded size is sent to the rows, so that no term is shuffled.
     """
     stored = model.groupBy("model", "form").agg(
-        F.sum(F.size("weights")).alias("weights"), F.count("*").alias("terms")
+        F.sum(F.size("weights")).alias("weights"), F.count("*").alias("terms"), F.max(F.size("weights")).alias("widest")
     ).collect()  # one row per model
     small = all(r["weights"] <= BROADCAST_WEIGHTS and r["terms"] <= BROADCAST_TERMS for r in stored)
     kinds = text or {"word": "plain", "char": "plain"} | {r["model"]: r["form"] for r in stored}
@@ -658,12 +669,12 @@ def score(rows: DataFrame, model: DataFrame, text: dict[str, str] | None = None,
     )
     ready = cut_lineage(ready)
     keys = ["uid", "feature_name"]
-    first = group_tasks(ready, keys).groupBy(*keys).agg(
+    first = group_tasks(ready, ["uid"]).groupBy(*keys).agg(
         F.min(F.struct(*[F.col(f"text_{k}") for k in kinds], "allowed")).alias("t")
     ).select(*keys, "t.*")
     out = ready.select(*keys, "category")
     for kind in kinds:
-        best = _best_class(first, model, kind, small)
+        best = _best_class(first, model, kind, small, max((r["widest"] for r in stored), default=0))
         out = out.join(best.hint("merge"), keys, "left").fillna({f"{kind}_confidence": 0.0})
     return out
 
